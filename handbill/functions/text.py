@@ -12,9 +12,7 @@ from handbill.config import HOME_CITIES, KNOWN_CITIES
 
 # Whitespace as Python's str.strip and re \s see it.
 _SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
-_SPACE_CLASS = "".join(f"\\x{{{ord(c):x}}}" for c in _SPACES)
-# Runs that are more than one plain space; single spaces stay untouched.
-_SPACE_RUNS = f" *[{_SPACE_CLASS}&&[^ ]][{_SPACE_CLASS}]*| {{2,}}"
+_SPACE_RUNS = r"(?U)[\s\x1c-\x1f]+"
 
 
 @lru_cache(maxsize=None)

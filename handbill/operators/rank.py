@@ -23,7 +23,9 @@ def relevance_score(config: RunConfig) -> Column:
     days = F.greatest(
         F.datediff(F.to_date("start_datetime"), F.lit(config.run_ts.date())), F.lit(0)
     )
-    proximity = F.coalesce(F.lit(1.0) / (F.lit(1.0) + days), F.lit(UNDATED_PROXIMITY))
+    proximity = F.when(
+        F.col("start_datetime").isNotNull(), F.lit(1.0) / (F.lit(1.0) + days)
+    ).otherwise(F.lit(UNDATED_PROXIMITY))
     hits = F.lit(0)
     for stream in STREAMS:
         own = keyword_hits(F.col("class_text"), config.rules["classify"].get(stream, []))

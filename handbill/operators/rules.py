@@ -163,11 +163,11 @@ def apply_filters(events: DataFrame, config: RunConfig) -> DataFrame:
         ),
     )
     open_rows = F.col("_refused").isNull()
-    judged = with_geo(refused, rules)
-    return judged.withColumns(
-        {
-            "drop_reason": F.coalesce("_refused", "geo_drop", date_drop(config)),
-            "family_suitable": F.when(open_rows, F.col("family_suitable")),
-        }
-    ).drop("_refused", "geo_drop")
+    judged = with_geo(refused, rules).withColumn(
+        "family_suitable", F.when(open_rows, F.col("family_suitable"))
+    )
+    # A one-element explode: filters and groupings on the reason stay above it. Pushed down,
+    # they would repeat every rule, keyword test and date parse inside the filter.
+    reason = F.explode(F.array(F.coalesce("_refused", "geo_drop", date_drop(config))))
+    return judged.select("*", reason.alias("drop_reason")).drop("_refused", "geo_drop")
 

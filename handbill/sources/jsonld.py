@@ -20,9 +20,12 @@ def jsonld_blocks(pages: DataFrame, keep: list[str]) -> DataFrame:
 
 def jsonld_attempts(pages: DataFrame, keep: list[str]) -> DataFrame:
     """Like :func:`jsonld_blocks`, with a NULL ``doc`` for unreadable blocks."""
-    found = F.regexp_extract_all("html", F.lit(_BLOCK), F.lit(1))
-    return pages.select(*keep, F.posexplode(found).alias("block_no", "json")).withColumn(
-        "doc", F.try_parse_json("json")
+    found = F.transform(
+        F.regexp_extract_all("html", F.lit(_BLOCK), F.lit(1)),
+        lambda json: F.struct(json.alias("json"), F.try_parse_json(json).alias("doc")),
+    )
+    return pages.select(*keep, F.posexplode(found).alias("block_no", "block")).select(
+        *keep, "block_no", "block.json", "block.doc"
     )
 
 
