@@ -123,7 +123,7 @@ def _next_occurrence(month: Column, day: Column, run_ts: datetime) -> Column:
     """
 
     def in_year(year: int) -> Column:
-        return F.try_to_date(_date_text(F.lit(str(year)), month, day), F.lit("yyyy-MM-dd"))
+        return F.try_to_date(_date_text(F.lit(str(year)), month, day), "yyyy-MM-dd")
 
     this_year = in_year(run_ts.year)
     return F.when(this_year < F.lit(run_ts.date()), in_year(run_ts.year + 1)).otherwise(this_year)

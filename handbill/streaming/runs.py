@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from handbill.operators.state import (
@@ -33,20 +33,35 @@ def run_available(stream: DataFrame, output: str, checkpoint: str) -> StreamingQ
     )
 
 
+_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
+def event_time(stream: DataFrame, time: str, delay: str, name: str = "_event_time") -> DataFrame:
+    """A watermarked time column from wall-clock time. Watermarks need an instant, so the wall
+    clock is read as UTC; the session zone plays no part."""
+    micros = F.expr(f"timestampdiff(MICROSECOND, {_EPOCH}, `{time}`)")
+    return stream.withColumn(name, F.timestamp_micros(micros)).withWatermark(name, delay)
+
+
+def wall_clock(instant: Column) -> Column:
+    """Back from such an instant to wall-clock time, to the second."""
+    return F.expr(_EPOCH) + F.make_dt_interval(secs=F.unix_seconds(instant))
+
+
 def first_per_key(stream: DataFrame, keys: list[str], time: str, horizon: str) -> DataFrame:
     """The first arrival per key; a copy within the horizon is dropped. Trust order and field
     merging need the batch operator."""
-    return stream.withWatermark(time, horizon).dropDuplicatesWithinWatermark(keys)
+    timed = event_time(stream, time, horizon)
+    return timed.dropDuplicatesWithinWatermark(keys).drop("_event_time")
 
 
 def drop_counts(stream: DataFrame, time: str, reason: str, period: str, delay: str) -> DataFrame:
     """Rows per period and drop reason; a period is final once the watermark has passed it."""
     return (
-        stream.where(F.col(reason).isNotNull())
-        .withWatermark(time, delay)
-        .groupBy(F.window(time, period).alias("period"), reason)
+        event_time(stream.where(F.col(reason).isNotNull()), time, delay)
+        .groupBy(F.window("_event_time", period).alias("period"), reason)
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("period.start").alias("period_start"), reason, "n")
+        .select(wall_clock(F.col("period.start")).alias("period_start"), reason, "n")
     )
 
 
