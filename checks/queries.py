@@ -15,7 +15,7 @@ from handbill.operators import admission, classify, dedup, digest, normalize, ra
 from handbill.operators import state as states
 from handbill.plans.run import judge, keep_and_dedup, rank_new
 from handbill.schema import STATE_COLUMNS
-from handbill.session import shared_path
+from handbill.session import shared_path, spread
 from handbill.sources import jsonld, listings as feeds, pages as pages_src, sinks
 from handbill.streaming import runs as streams
 
@@ -94,7 +94,7 @@ def union_sources(spark, sf_dir):
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages_src.landed_pages(spark, f"{sf_dir}/pages.parquet")
+    return spread(pages_src.landed_pages(spark, f"{sf_dir}/pages.parquet"))
 
 
 @query
@@ -238,8 +238,8 @@ def jsonld_itemlist(spark, sf_dir):
 
 
 _LIST_ROWS = pages_src.RowLayout(
-    block=r"(?is)<li>(.*?)</li>",
-    cells={"href": r'(?is)<a href="([^"]*)"', "label": r"(?is)<a [^>]*>(.*?)</a>"},
+    start="<li>", stop="</li>",
+    cells={"href": r'<a href="([^"]*)"', "label": r"(?s)<a [^>]*>(.*?)</a>"},
 )
 
 
@@ -367,7 +367,7 @@ def discover_candidates(spark, sf_dir):
 
 @query
 def text_norm(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         "doc_id", F.md5(text.norm(F.col("text"))).alias("norm_md5"),
         F.length(text.norm(F.col("text"))).alias("n_norm"),
     )
@@ -418,7 +418,7 @@ def parse_dates(spark, sf_dir):
                                      F.lit(" "), F.year(day)))
         .otherwise(F.concat(F.lit("termin nieznany "), key))
     )
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders")).select(
         "o_orderkey", dates.parse_dt(written).alias("parsed")
     )
 
@@ -433,7 +433,7 @@ def parse_price(spark, sf_dir):
         .when(F.col("l_linenumber") % 4 == 2, F.concat(price, F.lit(" zł")))
         .otherwise(F.concat(F.lit("od "), price))
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         keys.parse_price(written).alias("price"),
     )
@@ -590,7 +590,7 @@ def merge_fill(spark, sf_dir):
 @query
 def lineitem_dedup(spark, sf_dir):
     """The same merge over line items: one row per part and supplier, flags ranked by trust."""
-    lines = table(spark, sf_dir, "lineitem").select(
+    lines = spread(table(spark, sf_dir, "lineitem")).select(
         F.concat_ws("|", "l_partkey", "l_suppkey").alias("dedup_key"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
         F.col("l_returnflag").alias("source"),

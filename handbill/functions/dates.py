@@ -30,9 +30,10 @@ _ENGLISH_MONTHS = {
 _ALL_MONTHS = {**_ENGLISH_MONTHS, **POLISH_SHORT_MONTHS, **POLISH_MONTHS}
 
 _CLOCK = r"(?:[T ,]+(?:godz\.?\s*)?(\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?))?"
+_ISO = r"^\d{4}-\d{1,2}-\d{1,2}(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)?$"
 _ISO_OFFSET = r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}(?::\d{2}){0,2}(?:\.\d+)?)\s*(Z|z|[+-]\d{2}(?::?\d{2})?)$"
-_ISO_LOCAL = r"^(\d{4}-\d{1,2}-\d{1,2})" + _CLOCK + r"$"
-_ISO_HOUR = r"^(\d{4}-\d{2}-\d{2})[T ](\d{2})$"
+_ISO_LOOSE = r"^(\d{4}-\d{1,2}-\d{1,2})" + _CLOCK + r"$"
+_ISO_HOUR = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}$"
 _COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
 _NUMERIC = r"^(\d{1,2})[./-](\d{1,2})[./-](\d{4})" + _CLOCK + r"$"
 _DAY_NAME = r"^(?:[^\d]*\s)?(\d{1,2})\.?\s+(\p{L}+)\.?,?\s+(\d{4})" + _CLOCK + r"$"
@@ -53,66 +54,54 @@ def _date_text(year: Column, month: Column, day: Column) -> Column:
     return F.concat(year, F.lit("-"), F.lpad(month, 2, "0"), F.lit("-"), F.lpad(day, 2, "0"))
 
 
-def _with_clock(date: Column, clock: Column) -> Column:
-    """Timestamp of a date text and a clock text, midnight when the clock is empty."""
-    padded = F.when(clock == "", F.lit("00:00")).otherwise(
-        F.regexp_replace(clock, r"^(\d):", "0$1:")
-    )
-    return _ntz(F.concat(date, F.lit(" "), padded))
+def parse_dt(c: Column) -> Column:
+    """Timestamp text to Warsaw wall-clock time; see :func:`parse_trimmed_dt`."""
+    return parse_trimmed_dt(strip(c))
 
 
-def parse_dt(c: Column) -> Column:
-    """Timestamp text to Warsaw wall-clock time.
+def parse_trimmed_dt(s: Column) -> Column:
+    """Timestamp text without outer blanks to Warsaw wall-clock time.
 
     Year-first layouts are month before day, all others day first (month first only where
     the middle number cannot be a month). Polish and English month names are known. A zone
     offset is taken off by arithmetic on the wall clock, so the session zone plays no part.
     """
-    s = strip(c)
+
+    def rewritten(pattern: str, year_first: str) -> Column:
+        return _ntz(F.regexp_replace(s, pattern, year_first))
 
     def group(pattern: str, index: int) -> Column:
         return F.regexp_extract(s, pattern, index)
 
-    sign = F.when(group(_ISO_OFFSET, 2).startswith("-"), F.lit(-1)).otherwise(F.lit(1))
-    digits = F.rpad(F.regexp_replace(group(_ISO_OFFSET, 2), r"[^0-9]", ""), 4, "0")
-    minutes = sign * (
-        F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int")
-    )
-    local = group(_ISO_OFFSET, 1)
+    def named(pattern: str, name: int, rest: str) -> Column:
+        month = _month_number(group(pattern, name), _ALL_MONTHS).cast("string")
+        written = F.regexp_replace(s, pattern, rest)
+        return _ntz(F.replace(written, F.lit("M"), month))
+
+    local, offset = group(_ISO_OFFSET, 1), group(_ISO_OFFSET, 2)
     local = F.when(F.length(local) == 13, F.concat(local, F.lit(":00"))).otherwise(local)
+    digits = F.rpad(F.regexp_replace(offset, r"[^0-9]", ""), 4, "0")
+    minutes = F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(
+        digits, 3, 2
+    ).try_cast("int")
+    minutes = F.when(offset.startswith("-"), -minutes).otherwise(minutes)
     utc = _ntz(local) - F.make_dt_interval(mins=minutes)
-    from_offset = F.convert_timezone(F.lit("UTC"), F.lit("Europe/Warsaw"), utc)
-
-    iso_date = group(_ISO_LOCAL, 1)
-    iso_date = _date_text(
-        F.split_part(iso_date, F.lit("-"), F.lit(1)),
-        F.split_part(iso_date, F.lit("-"), F.lit(2)),
-        F.split_part(iso_date, F.lit("-"), F.lit(3)),
-    )
-
-    def numeric(month: int, day: int) -> Column:
-        date = _date_text(group(_NUMERIC, 3), group(_NUMERIC, month), group(_NUMERIC, day))
-        return _with_clock(date, group(_NUMERIC, 4))
-
-    def named(pattern: str, name: int, day: int) -> Column:
-        month = _month_number(group(pattern, name), _ALL_MONTHS).cast("string")
-        date = _date_text(group(pattern, 3), month, group(pattern, day))
-        return _with_clock(date, group(pattern, 4))
 
     return (
-        F.when(s.rlike(_ISO_LOCAL), _with_clock(iso_date, group(_ISO_LOCAL, 2)))
-        .when(s.rlike(_ISO_OFFSET), from_offset)
+        F.when(s.rlike(_ISO), _ntz(s))
         .when(
-            s.rlike(_ISO_HOUR),
-            _with_clock(group(_ISO_HOUR, 1), F.concat(group(_ISO_HOUR, 2), F.lit(":00"))),
+            s.rlike(_ISO_OFFSET),
+            F.convert_timezone(F.lit("UTC"), F.lit("Europe/Warsaw"), utc),
         )
         .when(
-            s.rlike(_COMPACT),
-            _ntz(_date_text(group(_COMPACT, 1), group(_COMPACT, 2), group(_COMPACT, 3))),
+            s.rlike(_NUMERIC),
+            F.coalesce(rewritten(_NUMERIC, "$3-$2-$1 $4"), rewritten(_NUMERIC, "$3-$1-$2 $4")),
         )
-        .when(s.rlike(_NUMERIC), F.coalesce(numeric(2, 1), numeric(1, 2)))
-        .when(s.rlike(_DAY_NAME), named(_DAY_NAME, 2, 1))
-        .when(s.rlike(_NAME_DAY), named(_NAME_DAY, 1, 2))
+        .when(s.rlike(_DAY_NAME), named(_DAY_NAME, 2, "$3-M-$1 $4"))
+        .when(s.rlike(_NAME_DAY), named(_NAME_DAY, 1, "$3-M-$2 $4"))
+        .when(s.rlike(_ISO_HOUR), _ntz(F.concat(s, F.lit(":00"))))
+        .when(s.rlike(_COMPACT), rewritten(_COMPACT, "$1-$2-$3"))
+        .when(s.rlike(_ISO_LOOSE), rewritten(_ISO_LOOSE, "$1 $2"))
     )
 
 

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from handbill.functions.dates import parse_dt
+from handbill.functions.dates import parse_trimmed_dt
 from handbill.functions.keys import dedup_key, parse_price
 from handbill.functions.text import first_of, is_home_city, known_city, norm, strip
 from handbill.schema import with_raw_columns
@@ -20,6 +20,13 @@ def normalize(raw: DataFrame, run_ts: datetime) -> DataFrame:
     """
     r = with_raw_columns(raw)
     title = strip(F.col("title"))
+    # Trimmed in a step of their own: the parser refers to its input many times.
+    r = r.withColumns(
+        {
+            "start": strip(first_of(F.col("start"), F.col("start_datetime"))),
+            "end": strip(first_of(F.col("end"), F.col("end_datetime"))),
+        }
+    )
     parsed = (
         r.where((F.coalesce(title, F.lit("")) != "") & ~F.coalesce("needs_extraction", F.lit(False)))
         .select(
@@ -27,8 +34,8 @@ def normalize(raw: DataFrame, run_ts: datetime) -> DataFrame:
             "source",
             F.coalesce(first_of(F.col("url"), F.col("source_url")), F.lit("")).alias("source_url"),
             title.alias("title"),
-            parse_dt(first_of(F.col("start"), F.col("start_datetime"))).alias("start_datetime"),
-            parse_dt(first_of(F.col("end"), F.col("end_datetime"))).alias("end_datetime"),
+            parse_trimmed_dt(F.col("start")).alias("start_datetime"),
+            parse_trimmed_dt(F.col("end")).alias("end_datetime"),
             "city",
             first_of(F.col("venue"), F.col("venue_name")).alias("venue_name"),
             "address",

@@ -73,53 +73,58 @@ def page_stub(pages: DataFrame, name: Column, body: Column, max_chars: int = STU
 
 @dataclass(frozen=True)
 class RowLayout:
-    """Where repeated rows and their cells are in a page: patterns whose group 1 is wanted."""
+    """Repeated rows of a page: a row begins at each tag that matches ``start`` and ends where
+    the next one begins or ``stop`` matches. Cell patterns have the wanted part as group 1."""
 
-    block: str
+    start: str
+    stop: str
     cells: dict[str, str] = field(default_factory=dict)
 
 
-def _cell(*classes: str, until: str) -> str:
-    """Content from the tag with these classes up to ``until`` or the end of the block."""
-    names = "".join(rf"[^\"]*\b{c}\b" for c in classes)
-    return rf'(?is)class="{names}(?![\w-])[^"]*"[^>]*>(.*?)(?:{until}|$)'
+_NEXT_COLUMN = r'<\w+[^>]*class="[^"]*\bcolTab\b'
 
 
-_NEXT_COLUMN = r'<\w+[^>]*class="[^"]*\bcolTab\b'
+def _column(name: str) -> str:
+    """Content of a table column: up to the next column, so nested tags do not end it."""
+    return (
+        rf'(?s)class="[^"]*\bcolTab\b[^"]*\b{name}(?![\w-])[^"]*"[^>]*>(.*?)(?:{_NEXT_COLUMN}|$)'
+    )
+
 
 # Markup of the two listing layouts.
 TABLE_ROWS = RowLayout(
-    block=r'(?is)(<a\s(?=[^>]*class="[^"]*\bclearfix\b)(?=[^>]*href="[^"]*/wydarzenia/)[^>]*>.*?</a>)',
+    start=r'<a\s(?=[^>]*class="[^"]*\bclearfix\b)(?=[^>]*href="[^"]*/wydarzenia/)[^>]*>',
+    stop=r"</a>",
     cells={
-        "href": r'(?is)<a\s[^>]*?href="([^"]*)"',
-        "title": _cell("colTab", "title", until=_NEXT_COLUMN),
-        "topics": r'(?is)<(?:\w+)[^>]*class="[^"]*\btopics\b[^"]*"[^>]*>(.*?)</\w+>',
-        "date": _cell("colTab", "date", until=_NEXT_COLUMN),
-        "num": r'(?is)class="[^"]*\bnum\b[^"]*"[^>]*>(.*?)</',
-        "city": _cell("colTab", "city", until=_NEXT_COLUMN),
-        "cost": _cell("colTab", "cost", until=_NEXT_COLUMN),
-        "type": _cell("colTab", "type", until=_NEXT_COLUMN),
+        "href": r'^<a\s[^>]*?href="([^"]*)"',
+        "title": _column("title"),
+        "topics": r'(?s)<\w+[^>]*class="[^"]*\btopics\b[^"]*"[^>]*>(.*?)</\w+>',
+        "date": _column("date"),
+        "num": r'(?s)class="[^"]*\bnum\b[^"]*"[^>]*>(.*?)</',
+        "city": _column("city"),
+        "cost": _column("cost"),
+        "type": _column("type"),
     },
 )
 
 
 def _simple(class_name: str) -> str:
-    return rf'(?is)class="(?:[^"]*\s)?{class_name}(?:\s[^"]*)?"[^>]*>(.*?)</'
+    return rf'(?s)class="(?:[^"]*\s)?{class_name}(?:\s[^"]*)?"[^>]*>(.*?)</'
 
 
 CARDS = RowLayout(
-    block=r'(?is)(<div[^>]*class="(?:[^"]*\s)?event__item(?:\s[^"]*)?"[^>]*>.*?)'
-          r'(?=<div[^>]*class="(?:[^"]*\s)?event__item(?:\s[^"]*)?"|</section>|</body>|$)',
+    start=r'<div[^>]*class="(?:[^"]*\s)?event__item(?:\s[^"]*)?"[^>]*>',
+    stop=r"</section>|</main>|</nav>|</body>|<footer\b",
     cells={
         "title_name": _simple("event__item__title__name"),
-        "title": r'(?is)class="(?:[^"]*\s)?event__item__title(?:\s[^"]*)?"[^>]*>(.*?)</a>',
-        "href": r'(?is)<a\s(?=[^>]*class="(?:[^"]*\s)?event__item__title(?:\s[^"]*)?")'
+        "title": r'(?s)class="(?:[^"]*\s)?event__item__title(?:\s[^"]*)?"[^>]*>(.*?)</a>',
+        "href": r'(?s)<a\s(?=[^>]*class="(?:[^"]*\s)?event__item__title(?:\s[^"]*)?")'
                 r'[^>]*?href="([^"]*)"',
-        "ticket_href": r'(?is)<a\s[^>]*?href="([^"]*/impreza/[^"]*)"',
+        "ticket_href": r'<a\s[^>]*?href="([^"]*/impreza/[^"]*)"',
         "month": _simple("calendar-icon__icon__month"),
         "day": _simple("calendar-icon__icon__day"),
         "hour": _simple("event__item__date__hour"),
-        "calendar": r'(?is)class="[^"]*info__calendar[^"]*"[^>]*>(.*?)</',
+        "calendar": r'(?s)class="[^"]*info__calendar[^"]*"[^>]*>(.*?)</',
         "city": _simple("event__item__location__city"),
         "place": _simple("event__item__location__place"),
         "price": _simple("event__price__info"),
@@ -133,7 +138,10 @@ def html_blocks(pages: DataFrame, layout: RowLayout, keep: list[str]) -> DataFra
 
     Cells are raw markup, '' when absent. Narrow: a page's rows stay in its partition.
     """
-    blocks = F.regexp_extract_all("html", F.lit(layout.block), F.lit(1))
+    pieces = F.filter(
+        F.split("html", f"(?={layout.start})"), lambda piece: piece.rlike(f"^{layout.start}")
+    )
+    blocks = F.transform(pieces, lambda piece: F.get(F.split(piece, layout.stop, 2), 0))
     rows = pages.select(*keep, F.posexplode(blocks).alias("row_no", "block"))
     return rows.withColumns(
         {name: F.regexp_extract("block", pattern, 1) for name, pattern in layout.cells.items()}
@@ -147,7 +155,7 @@ def html_rows(pages: DataFrame, run_ts: datetime, layout: RowLayout = TABLE_ROWS
     """
     keep = [c for c in pages.columns if c != "html"]
     cells = html_blocks(pages, layout, keep)
-    topic_markup = r'(?is)<\w+[^>]*class="[^"]*\btopics\b[^"]*"[^>]*>.*?</\w+>'
+    topic_markup = r'(?s)<\w+[^>]*class="[^"]*\btopics\b[^"]*"[^>]*>.*?</\w+>'
     date_text = F.when(text_of(F.col("date")) != "", text_of(F.col("date"))).otherwise(
         text_of(F.col("num"))
     )
