@@ -6,6 +6,7 @@ import unicodedata
 from functools import lru_cache
 from itertools import chain
 
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 from handbill.config import HOME_CITIES, KNOWN_CITIES
@@ -69,8 +70,6 @@ def norm_exact(c: Column) -> Column:
 
     An Arrow-batched Python function: use it only for feeds that hold such characters.
     """
-    import pandas as pd
-
     @F.pandas_udf("string")
     def fold(values: pd.Series) -> pd.Series:
         return values.map(
