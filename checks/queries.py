@@ -239,7 +239,7 @@ def jsonld_itemlist(spark, sf_dir):
 
 _LIST_ROWS = pages_src.RowLayout(
     start="<li>", stop="</li>",
-    cells={"href": r'<a href="([^"]*)"', "label": r"(?s)<a [^>]*>(.*?)</a>"},
+    cells={"href": (r'<a href="([^"]*)"', 1), "label": (r"(?s)<a [^>]*>(.*?)</a>", 1)},
 )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from handbill.config import STREAMS, RunConfig
+from handbill.operators.report import one_row
 
 # Texts and marks of the digest.
 SECTION_TITLES = {
@@ -110,7 +111,7 @@ def digest(ranked: DataFrame, config: RunConfig, run_totals: DataFrame) -> DataF
         offsets[stream] = offset
         offset = offset + block(stream)
     total_events = sum((F.col(f"n_{s}") for s in STREAMS), F.lit(0))
-    frame = totals.crossJoin(F.broadcast(run_totals)).select(
+    frame = one_row(totals, run_totals.select("sources", "skipped", "credits")).select(
         *[offsets[s].alias(f"at_{s}") for s in STREAMS],
         *[f"n_{s}" for s in STREAMS],
         offset.alias("at_end"), total_events.alias("n_events"),

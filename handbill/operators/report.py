@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from handbill.config import RunConfig
@@ -40,16 +42,21 @@ def source_report(registry: DataFrame, raw: DataFrame) -> DataFrame:
     )
 
 
+def one_row(*frames: DataFrame) -> DataFrame:
+    """Single-row frames side by side."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in stacked.columns])
+
+
 def funnel(judged: DataFrame, deduped: DataFrame, delivered: DataFrame) -> DataFrame:
     """One row: events after normalising, after dedup, and in the digest."""
 
     def total(df: DataFrame, name: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias(name))
 
-    return (
-        total(judged, "events_found")
-        .crossJoin(total(deduped, "events_kept"))
-        .crossJoin(total(delivered, "events_delivered"))
+    return one_row(
+        total(judged, "events_found"), total(deduped, "events_kept"),
+        total(delivered, "events_delivered"),
     )
 
 
@@ -75,10 +82,11 @@ def run_report(funnel_row: DataFrame, drops: DataFrame, sources: DataFrame,
         F.array_sort(F.collect_list(F.when(~F.col("ok"), F.col("source")))).alias("failures"),
         run_status(F.count_if(~F.col("ok"))).alias("status"),
     )
-    row = funnel_row.crossJoin(reasons).crossJoin(per_source)
+    parts = [funnel_row, reasons, per_source]
     if credits_used is not None:
-        row = row.crossJoin(credits_used.select(F.col("credits").alias("credits")))
-    else:
+        parts.append(credits_used.select("credits"))
+    row = one_row(*parts)
+    if credits_used is None:
         row = row.withColumn("credits", F.lit(0).cast("bigint"))
     return row.select(
         F.lit(config.run_ts.strftime("%Y-%m-%dT%H:%M:%S")).alias("run_at"),

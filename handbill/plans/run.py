@@ -68,7 +68,8 @@ def run_listings(raw: DataFrame, config: RunConfig, output: str, state: StateTab
     """A full run with its outputs under ``output`` and its state in ``state``.
 
     Judged rows and deduplicated events are each used several times, so both are written to
-    the shared folder once: narrow columns of all rows, full columns of the survivors. The
+    the shared folder once, the former by drop reason, so a reader of kept rows or of one
+    reason opens only those files. The
     prior snapshot is compared first and rewritten after ranking, so "updated" can be told
     and scores are stored; delivery marks go to the events the digest holds, when
     ``deliver`` is set. ``outcomes`` (source, found, ok, error) defaults to the records seen.
@@ -78,23 +79,24 @@ def run_listings(raw: DataFrame, config: RunConfig, output: str, state: StateTab
     run_id = config.resolved_run_id
     scratch = shared_path(spark, f"run-{run_id}")
 
-    judge(raw, config).select(
-        "seq", "source", "dedup_key", "drop_reason", *[c for c in EVENT_COLUMNS if c != "source"]
-    ).write.partitionBy("drop_reason").parquet(f"{scratch}/judged")
-    judged = spark.read.parquet(f"{scratch}/judged")
+    def written(df: DataFrame, name: str, *partition_columns: str) -> DataFrame:
+        df.write.partitionBy(*partition_columns).parquet(f"{scratch}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
 
-    keep_and_dedup(judged, config).write.parquet(f"{scratch}/events")
-    events = spark.read.parquet(f"{scratch}/events")
+    judged = written(
+        judge(raw, config).select("seq", "dedup_key", "drop_reason", *EVENT_COLUMNS),
+        "judged", "drop_reason",
+    )
+    events = written(keep_and_dedup(judged, config), "events")
 
     prior = state.read(for_run=run_id) if state is not None else None
     if prior is None:
         compared = events.withColumn("delivery_state", F.lit("new"))
     else:
         compared = delivery_status(events, prior)
-    rank_streams(
-        suppress_unchanged(compared, config.deliver_unchanged), config
-    ).write.parquet(f"{scratch}/ranked")
-    ranked = spark.read.parquet(f"{scratch}/ranked")
+    ranked = written(
+        rank_streams(suppress_unchanged(compared, config.deliver_unchanged), config), "ranked"
+    )
 
     drops = reports.drop_report(judged)
     if outcomes is None:

@@ -74,21 +74,28 @@ def page_stub(pages: DataFrame, name: Column, body: Column, max_chars: int = STU
 @dataclass(frozen=True)
 class RowLayout:
     """Repeated rows of a page: a row begins at each tag that matches ``start`` and ends where
-    the next one begins or ``stop`` matches. Cell patterns have the wanted part as group 1."""
+    the next one begins or ``stop`` matches. A cell is a pattern and its wanted group."""
 
     start: str
     stop: str
-    cells: dict[str, str] = field(default_factory=dict)
+    cells: dict[str, tuple[str, int]] = field(default_factory=dict)
 
 
-_NEXT_COLUMN = r'<\w+[^>]*class="[^"]*\bcolTab\b'
+def _element(classes: str, depth: int = 4) -> tuple[str, int]:
+    """An element whose class attribute matches: its content up to the end tag that closes it,
+    with elements of the same name nested up to ``depth`` levels, or to the end of the row."""
+    body = r"(?:[^<]++|<(?!/?\1\b))*+"
+    for _ in range(depth):
+        body = rf"(?:[^<]++|<(?!/?\1\b)|<\1\b[^>]*>{body}</\1>)*+"
+    return rf'(?s)<(\w+)\b[^>]*?\bclass="{classes}"[^>]*>({body})(?:</\1>|$)', 2
 
 
-def _column(name: str) -> str:
-    """Content of a table column: up to the next column, so nested tags do not end it."""
-    return (
-        rf'(?s)class="[^"]*\bcolTab\b[^"]*\b{name}(?![\w-])[^"]*"[^>]*>(.*?)(?:{_NEXT_COLUMN}|$)'
-    )
+def _column(name: str) -> tuple[str, int]:
+    return _element(rf'(?=[^"]*\bcolTab\b)[^"]*(?<![\w-]){name}(?![\w-])[^"]*')
+
+
+def _classed(name: str) -> tuple[str, int]:
+    return _element(rf'(?:[^"]*\s)?{name}(?:\s[^"]*)?')
 
 
 # Markup of the two listing layouts.
@@ -96,39 +103,36 @@ TABLE_ROWS = RowLayout(
     start=r'<a\s(?=[^>]*class="[^"]*\bclearfix\b)(?=[^>]*href="[^"]*/wydarzenia/)[^>]*>',
     stop=r"</a>",
     cells={
-        "href": r'^<a\s[^>]*?href="([^"]*)"',
+        "href": (r'^<a\s[^>]*?href="([^"]*)"', 1),
         "title": _column("title"),
-        "topics": r'(?s)<\w+[^>]*class="[^"]*\btopics\b[^"]*"[^>]*>(.*?)</\w+>',
+        "topics": _classed("topics"),
         "date": _column("date"),
-        "num": r'(?s)class="[^"]*\bnum\b[^"]*"[^>]*>(.*?)</',
+        "num": _classed("num"),
         "city": _column("city"),
         "cost": _column("cost"),
         "type": _column("type"),
     },
 )
 
-
-def _simple(class_name: str) -> str:
-    return rf'(?s)class="(?:[^"]*\s)?{class_name}(?:\s[^"]*)?"[^>]*>(.*?)</'
-
-
 CARDS = RowLayout(
     start=r'<div[^>]*class="(?:[^"]*\s)?event__item(?:\s[^"]*)?"[^>]*>',
     stop=r"</section>|</main>|</nav>|</body>|<footer\b",
     cells={
-        "title_name": _simple("event__item__title__name"),
-        "title": r'(?s)class="(?:[^"]*\s)?event__item__title(?:\s[^"]*)?"[^>]*>(.*?)</a>',
-        "href": r'(?s)<a\s(?=[^>]*class="(?:[^"]*\s)?event__item__title(?:\s[^"]*)?")'
-                r'[^>]*?href="([^"]*)"',
-        "ticket_href": r'<a\s[^>]*?href="([^"]*/impreza/[^"]*)"',
-        "month": _simple("calendar-icon__icon__month"),
-        "day": _simple("calendar-icon__icon__day"),
-        "hour": _simple("event__item__date__hour"),
-        "calendar": r'(?s)class="[^"]*info__calendar[^"]*"[^>]*>(.*?)</',
-        "city": _simple("event__item__location__city"),
-        "place": _simple("event__item__location__place"),
-        "price": _simple("event__price__info"),
-        "price_label": _simple("event__price__label"),
+        "title_name": _classed("event__item__title__name"),
+        "title": _classed("event__item__title"),
+        "href": (
+            r'<a\s(?=[^>]*class="(?:[^"]*\s)?event__item__title(?:\s[^"]*)?")'
+            r'[^>]*?href="([^"]*)"', 1,
+        ),
+        "ticket_href": (r'<a\s[^>]*?href="([^"]*/impreza/[^"]*)"', 1),
+        "month": _classed("calendar-icon__icon__month"),
+        "day": _classed("calendar-icon__icon__day"),
+        "hour": _classed("event__item__date__hour"),
+        "calendar": _element('[^"]*info__calendar[^"]*'),
+        "city": _classed("event__item__location__city"),
+        "place": _classed("event__item__location__place"),
+        "price": _classed("event__price__info"),
+        "price_label": _classed("event__price__label"),
     },
 )
 
@@ -144,7 +148,10 @@ def html_blocks(pages: DataFrame, layout: RowLayout, keep: list[str]) -> DataFra
     blocks = F.transform(pieces, lambda piece: F.get(F.split(piece, layout.stop, 2), 0))
     rows = pages.select(*keep, F.posexplode(blocks).alias("row_no", "block"))
     return rows.withColumns(
-        {name: F.regexp_extract("block", pattern, 1) for name, pattern in layout.cells.items()}
+        {
+            name: F.regexp_extract("block", pattern, group)
+            for name, (pattern, group) in layout.cells.items()
+        }
     )
 
 
@@ -155,7 +162,7 @@ def html_rows(pages: DataFrame, run_ts: datetime, layout: RowLayout = TABLE_ROWS
     """
     keep = [c for c in pages.columns if c != "html"]
     cells = html_blocks(pages, layout, keep)
-    topic_markup = r'(?s)<\w+[^>]*class="[^"]*\btopics\b[^"]*"[^>]*>.*?</\w+>'
+    topic_markup = layout.cells["topics"][0]
     date_text = F.when(text_of(F.col("date")) != "", text_of(F.col("date"))).otherwise(
         text_of(F.col("num"))
     )

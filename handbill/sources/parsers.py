@@ -8,8 +8,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from handbill.schema import with_raw_columns
+from handbill.schema import RAW_SCHEMA, with_raw_columns
 from handbill.sources import jsonld, pages as page_rows
+from handbill.sources.listings import registry_frame
 
 Parser = Callable[[DataFrame, datetime], DataFrame]
 
@@ -78,25 +79,35 @@ PARSERS: dict[str, Parser] = {
 }
 
 
-def parse_pages(pages: DataFrame, registry: DataFrame, run_ts: datetime,
+def parse_pages(pages: DataFrame, sources: list[dict], run_ts: datetime,
                 parsers: dict[str, Parser] | None = None) -> DataFrame:
     """Raw records of landed pages (``page_id``, ``source``, ``url``, ``html``).
 
-    Each page goes through the parser its source names; every parser sees only its pages.
-    Add a layout by adding a named function to ``parsers``.
+    Each page goes through the parser its source names in the configured list. A parser
+    reads only the pages of its sources: land pages partitioned by ``source``, and each
+    branch scans its own folders instead of everything. Sources without a known parser give
+    no records. Add a layout by adding a named function to ``parsers``.
     """
-    known = registry.select(
-        F.col("source_id").alias("source"), F.col("name").alias("source_name"), "parser",
-        F.col("base_url").alias("registry_base"), "default_city", "force_default_city",
+    available = parsers or PARSERS
+    by_parser: dict[str, list[str]] = {}
+    for source in sources:
+        if source.get("parser") in available:
+            by_parser.setdefault(source["parser"], []).append(source["id"])
+    known = registry_frame(pages.sparkSession, sources).select(
+        F.col("source_id").alias("source"), F.col("name").alias("source_name"),
+        F.col("base_url").alias("_base"), "default_city", "force_default_city",
         "force_category", "subcategory",
     )
-    joined = pages.join(known, "source").withColumn(
-        "base_url",
-        F.coalesce("registry_base", F.regexp_extract("url", r"^(https?://[^/?#]+)", 1)),
-    )
-    columns = [*PAGE_COLUMNS, "html"]
+    base = F.coalesce("_base", F.regexp_extract("url", r"^(https?://[^/?#]+)", 1))
     frames = []
-    for name, parser in (parsers or PARSERS).items():
-        records = parser(joined.where(F.col("parser") == name).select(*columns), run_ts)
-        frames.append(with_raw_columns(records))
+    for name, ids in by_parser.items():
+        own = (
+            pages.where(F.col("source").isin(ids))
+            .join(F.broadcast(known), "source")  # one row per configured source
+            .withColumn("base_url", base)
+            .select(*PAGE_COLUMNS, "html")
+        )
+        frames.append(with_raw_columns(available[name](own, run_ts)))
+    if not frames:
+        return pages.sparkSession.createDataFrame([], RAW_SCHEMA)
     return reduce(lambda a, b: a.unionByName(b), frames)
