@@ -72,7 +72,8 @@ def run_listings(raw: DataFrame, config: RunConfig, output: str, state: StateTab
     reason opens only those files. The
     prior snapshot is compared first and rewritten after ranking, so "updated" can be told
     and scores are stored; delivery marks go to the events the digest holds, when
-    ``deliver`` is set. ``outcomes`` (source, found, ok, error) defaults to the records seen.
+    ``deliver`` is set. ``outcomes`` (source, found, ok, error and, for paid
+    fetches, granted) defaults to the records seen.
     """
     spark = raw.sparkSession
     checkpoint_dir(spark)
@@ -104,12 +105,16 @@ def run_listings(raw: DataFrame, config: RunConfig, output: str, state: StateTab
             F.count(F.lit(1)).alias("found"), F.lit(True).alias("ok"),
             F.lit(None).cast("string").alias("error"),
         )
+    if "granted" not in outcomes.columns:
+        outcomes = outcomes.withColumn("granted", F.lit(False))
     totals = outcomes.agg(
         F.count_if("ok").alias("sources"), F.count_if(~F.col("ok")).alias("skipped"),
-        F.lit(0).alias("credits"),
+        F.count_if("granted").alias("credits"),
     )
     text = digest(ranked, config, totals)
-    report = reports.run_report(reports.funnel(judged, events, ranked), drops, outcomes, config)
+    report = reports.run_report(
+        reports.funnel(judged, events, ranked), drops, outcomes, config, totals
+    )
 
     write_digest(text, f"{output}/digest")
     write_digest_sections(event_lines(ranked, config), f"{output}/sections")

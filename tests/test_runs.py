@@ -77,6 +77,62 @@ def test_runs_over_time(spark, tmp_path):
         ("Kapela - koncert", "updated")]
 
 
+def test_collect_falls_back_under_a_budget(spark, tmp_path):
+    from handbill.config import default_rules
+    from handbill.plans.collect import collect
+
+    def block(title):
+        return ('<script type="application/ld+json">'
+                f'{{"name": "{title}", "startDate": "2026-06-10"}}</script>')
+
+    base = dict(streams=["concert", "ai_digital"], enabled=True, parser="jsonld_walk",
+                fallback_parser="jsonld_walk", method="python", default_city="Sopot")
+    sources = [
+        {**base, "id": "full"}, {**base, "id": "empty1", "fallback": "firecrawl"},
+        {**base, "id": "paid1", "method": "firecrawl"}, {**base, "id": "off", "enabled": False},
+        {**base, "id": "other", "streams": ["x"]}, {**base, "id": "empty2"},
+        {**base, "id": "paid2", "method": "firecrawl", "force_category": "concert"},
+        {**base, "id": "lost", "fallback": "firecrawl"}, {**base, "id": "gone"},
+    ]
+    schema = "page_id bigint, source string, url string, html string"
+
+    def frame(pages):
+        return spark.createDataFrame(
+            [(i, s, "https://p.example/x", h) for i, (s, h) in enumerate(pages.items())], schema)
+
+    first = frame({"full": block("koncert A"), "empty1": "<p>", "paid1": block("koncert P"),
+                   "off": block("koncert O"), "other": block("koncert Q"), "empty2": "<p>",
+                   "paid2": block("Wieczor")})
+    second = frame({"empty1": block("koncert F"), "full": block("koncert Z"),
+                    "lost": block("koncert L")})
+
+    def outcome(budget):
+        config = RunConfig(NOW, {**default_rules(), "fetch_budget_per_run": budget},
+                           streams=("concert",))
+        got = collect(sources, first, second, config)
+        rows = {r.source: (r.found, r.ok, r.error, r.method) for r in got.outcomes.collect()}
+        return (rows, sorted(r.title for r in got.records.collect()), got.credits.first()[0], got,
+                config)
+
+    rows, titles, used, _, _ = outcome(2)
+    assert rows == {
+        "full": (1, True, None, "direct"), "empty1": (1, True, None, "metered"),
+        "paid1": (1, True, None, "metered"), "empty2": (0, True, None, "direct"),
+        "paid2": (0, False, "budget_exceeded", "metered"),
+        "lost": (0, False, "page_not_landed", "direct"),
+        "gone": (0, False, "page_not_landed", "direct"),
+    }
+    assert (titles, used) == (["koncert A", "koncert F", "koncert P"], 2)
+    rows, titles, used, got, config = outcome(30)
+    assert rows["lost"] == (1, True, None, "metered") and rows["paid2"][1]
+    assert (titles, used) == (
+        ["Wieczor", "koncert A", "koncert F", "koncert L", "koncert P"], 4)
+    result = run_listings(got.records, config, str(tmp_path / "out"), outcomes=got.outcomes)
+    assert result.ranked.count() == 5    # the untitled category is forced by its source
+    report = json.loads(spark.read.text(str(tmp_path / "out" / "report")).first()[0])
+    assert (report["status"], report["credits"], report["failures"]) == (1, 4, ["gone"])
+
+
 def test_stream_horizon_and_late_rows(spark, tmp_path):
     """Two scheduled runs: a copy inside the horizon is dropped, late rows do not reopen a day."""
     schema = "k string, ts timestamp_ntz, reason string"
