@@ -9,13 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def tuned(builder):
-    """Adaptive settings for large inputs: small start partitions, merged or split at run time."""
+    """Adaptive settings for large inputs, partitions merged or split at run time.
+
+    The rules make long expressions. Generated methods above 8000 bytes are never compiled to
+    machine code by the JVM, so such stages are better run as split projections.
+    """
     return (
         builder.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
 
