@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing
+from . import exact, mixing, packing, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +15,19 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = tokens.write_token_files(
+        table(spark, sf_dir, "documents"), tokens.vocabulary("byte_bpe_50k.json"))
+    return written.read(spark)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokens.vocabulary("word_bpe_49k.json"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "position")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op7_mixing)}
+QUERIES = {f.__name__: f for f in (
+    op1_exact_dedup, op3_token_files, op5_packing, op7_mixing)}
