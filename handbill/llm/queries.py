@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, lm, mixing, packing, tokens
+from . import exact, lm, mixing, packing, substrings, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = tokens.write_token_files(
         table(spark, sf_dir, "documents"), tokens.vocabulary("byte_bpe_50k.json"))
@@ -34,4 +38,5 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op3_token_files, op5_packing, op7_mixing, op10_lm_scoring)}
+    op1_exact_dedup, op2_substring_dedup, op3_token_files, op5_packing, op7_mixing,
+    op10_lm_scoring)}
