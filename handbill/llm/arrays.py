@@ -71,3 +71,40 @@ def by_part(part: np.ndarray, parts: int, columns: list[np.ndarray], schema: pa.
         pa.array(used, schema.field(0).type),
         *(pa.array([planes(x[edges[k]: edges[k + 1]]) for k in used], pa.binary()) for x in columns),
     ], schema=schema)
+
+
+def labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest number connected with each of ``n`` by links (i, j)."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        np.minimum.at(new, label[i], low)
+        np.minimum.at(new, label[j], low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def weighted_links(cid: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.Table:
+    """(cid, other, links): sums of linked sizes, and for each linked row an edge to its first one."""
+    n = len(cid)
+    links = np.zeros(n, np.int64)
+    np.add.at(links, i, size[j])
+    np.add.at(links, j, size[i])
+    own = np.flatnonzero(links)
+    label = labels(n, i, j)
+    edge = np.flatnonzero(label != np.arange(n))
+    return pa.table({
+        "cid": pa.array(np.concatenate((cid[own], cid[edge])), pa.int64()),
+        "other": pa.array(np.concatenate((np.zeros(len(own), np.int64), cid[label[edge]])), pa.int64(),
+                          mask=np.concatenate((np.ones(len(own), bool), np.zeros(len(edge), bool)))),
+        "links": pa.array(np.concatenate((links[own], np.zeros(len(edge), np.int64))), pa.int64()),
+    })
+
+
+FOUND = "cid bigint, other bigint, links bigint"
+FOUND_SCHEMA = pa.schema([(x, pa.int64()) for x in ("cid", "other", "links")])

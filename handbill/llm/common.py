@@ -78,3 +78,43 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError("components did not settle")
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return nodes.union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def split_groups(rows: DataFrame, keys: list[str], row_id: str, capacity: int) -> DataFrame:
+    """Add (lo, hi, blk): groups over ``capacity`` rows are compared block against block.
+
+    A group of n rows has ceil(n / capacity) blocks, and a row goes to each pair of blocks that has its
+    own, so every two rows of a group meet in one task at least, and tasks hold about two blocks.
+    """
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > capacity)
+    return (
+        rows.join(sizes, keys, "left")
+        .withColumn("_n", F.ceil(F.coalesce("_n", F.lit(1)) / capacity))
+        .withColumn("blk", F.pmod(F.xxhash64(row_id), F.col("_n")))
+        .withColumn("_o", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)))
+        .withColumn("lo", F.least("blk", "_o")).withColumn("hi", F.greatest("blk", "_o"))
+        .drop("_n", "_o")
+    )
+
+
+def linked(rows: DataFrame, found: DataFrame, row_id: str) -> DataFrame:
+    """Rows (cid, row_id, size, ...) with n_links, component_id and kept.
+
+    ``found`` holds (cid, links) sums and (cid, other) edges of classes, in one table; a row links with
+    the other members of its class too. The component's id is the smallest ``row_id`` in it.
+    Rows whose cid is NULL link with nothing.
+    """
+    links = found.where("other IS NULL").groupBy("cid").agg(F.sum("links").alias("_links"))
+    roots = components(found.where("other IS NOT NULL").selectExpr("cid AS u", "other AS v"))
+    classes = rows.where("cid IS NOT NULL").groupBy("cid").agg(F.min(row_id).alias("_first"))
+    classes = classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left")
+    classes = classes.withColumn("root", F.coalesce("root", "cid")).join(links, "cid", "left")
+    least = classes.groupBy("root").agg(F.min("_first").alias("_least"))
+    classes = classes.join(least, "root").select("cid", "_links", "_least")
+    return (
+        rows.join(classes, "cid", "left")
+        .withColumn("n_links", F.coalesce(F.col("size") - 1 + F.coalesce("_links", F.lit(0)), F.lit(0)))
+        .withColumn("component_id", F.coalesce("_least", row_id))
+        .withColumn("kept", F.col(row_id).eqNullSafe(F.col("component_id")))
+        .drop("_links", "_least")
+    )
