@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, jaccard, lm, mixing, packing, substrings, tokens, vectors
+from . import exact, jaccard, langid, lm, mixing, packing, substrings, tokens, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.read(spark)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.held_out_languages(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokens.vocabulary("word_bpe_49k.json"))
 
@@ -46,6 +50,6 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_substring_dedup, op3_token_files, op5_packing,
+    op1_exact_dedup, op2_substring_dedup, op3_token_files, op4_language_id, op5_packing,
     op6_ngram_jaccard, op7_mixing, op9_embedding_near_dedup,
     op10_lm_scoring)}
