@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, jaccard, langid, lm, mixing, packing, substrings, tokens, vectors
+from . import exact, jaccard, langid, lm, mixing, packing, substrings, tokens, toxicity, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "position")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.held_out_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -51,5 +55,5 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_substring_dedup, op3_token_files, op4_language_id, op5_packing,
-    op6_ngram_jaccard, op7_mixing, op9_embedding_near_dedup,
-    op10_lm_scoring)}
+    op6_ngram_jaccard, op7_mixing, op8_toxicity,
+    op9_embedding_near_dedup, op10_lm_scoring)}
