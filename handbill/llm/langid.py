@@ -90,7 +90,6 @@ def forward_backward(emit: np.ndarray, moves: np.ndarray, real: np.ndarray):
             on = real[:, t]
             pairs += np.einsum("ci,cj->ij", ahead[on, t - 1], onward[on]) * step
             back = np.where(real[:, t, None], onward @ step.T, back)
-            back = back / back.sum(-1, keepdims=True) * n
     return posterior, pairs, (np.log(scale) + top[..., 0]).sum(1, where=real)
 
 
