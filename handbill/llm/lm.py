@@ -35,7 +35,7 @@ END = np.uint64(0x5DEECE66D1CE4E5B)
 _COUNTS = pa.schema([("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 _STATS = pa.schema([("part", pa.int32()), *((x, pa.binary()) for x in (
     "ids", "before", "total", "one", "two", "more"))])
-FLUSH = 3 << 20
+FLUSH = 2 << 20
 
 
 def fold(doc_id: str | Column, folds: int) -> Column:
@@ -155,11 +155,14 @@ def _store_bigrams(folder: str, per_part: int, id_parts: int):
         store(folder, f"pairs-{part}", np.minimum(counts, 0xFFFFFFFF).astype(np.uint32))
         pair = unmix(keys)
         context, word = (pair >> np.uint64(32)).astype(np.int64), (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        zero = np.zeros(len(pair), np.int64)
+        del pair, keys
+        words, before = counted(word)
+        contexts, *found = summed(context, counts, *(
+            hit.astype(np.int64) for hit in (counts == 1, counts == 2, counts > 2)))
+        none = np.zeros(len(words), np.int64)
         ids, *stats = summed(
-            np.concatenate((word, context)),
-            np.concatenate((zero + 1, zero)), np.concatenate((zero, counts)),
-            *(np.concatenate((zero, hit.astype(np.int64))) for hit in (counts == 1, counts == 2, counts > 2)))
+            np.concatenate((words, contexts)), np.concatenate((before, np.zeros(len(contexts), np.int64))),
+            *(np.concatenate((none, x)) for x in found))
         out = by_part(ids // per_part, id_parts, [ids, *stats], _STATS)
         extra = [pa.array([n] * out.num_rows, pa.int64()) for n in _counts_of_counts(counts)]
         first = pa.array(np.arange(out.num_rows) == 0)
@@ -204,9 +207,10 @@ class Model:
     def _dense(self, name: str, ids: np.ndarray, width: tuple = ()) -> np.ndarray:
         """Rows of the dense arrays for some numbers of words."""
         out = np.zeros((len(ids), *width), np.int64)
-        part = ids // self.per_part
-        for k in np.unique(part):
-            own = part == k
+        order = np.argsort(ids)
+        edges = np.searchsorted(ids[order], np.arange(0, self.words.size + self.per_part + 1, self.per_part))
+        for k in np.flatnonzero(np.diff(edges)):
+            own = order[edges[k]: edges[k + 1]]
             out[own] = mapped(self.folder, f"{name}-{k}")[ids[own] - k * self.per_part]
         return out
 
@@ -264,7 +268,7 @@ class Model:
                 np.add.reduceat(base, heads), np.add.reduceat(value, heads))
 
 
-def train(texts: DataFrame, part_bytes: int = 32 << 20, per_part: int = 1 << 20) -> Model:
+def train(texts: DataFrame, part_bytes: int = 12 << 20, per_part: int = 1 << 16) -> Model:
     """Count ``texts`` (one column, text) into a model in the shared folder."""
     spark = texts.sparkSession
     folder = shared_folder(spark, "lm")
