@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .arrays import from_planes, planes, range_of, store
 from .common import only, pieces, shared_folder, text_bytes_of
 from .words import IS_BREAK, IS_LETTER, IS_SPACE, blocks, span_hashes
 
@@ -103,27 +104,21 @@ def _first_of_each(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ordered[new], order[new]
 
 
-def _range_of(hashes: np.ndarray, parts: int) -> np.ndarray:
-    return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-
-
 def _distinct_spans(space: bool, parts: int, flush: int = 1 << 21):
-    schema = pa.schema([("part", pa.int32()), ("hashes", pa.binary()), ("lens", pa.binary()),
-                        ("bytes", pa.large_binary())])
+    schema = pa.schema([("part", pa.int32()), ("lens", pa.binary()), ("bytes", pa.binary())])
 
     def rows(hashes, lens, data):
         order = np.argsort(hashes)
         starts = np.cumsum(lens) - lens
-        hashes, lens, starts = hashes[order], lens[order], starts[order]
-        part = _range_of(hashes, parts)
+        lens, starts = lens[order], starts[order]
+        part = range_of(hashes[order], parts)
         edges = np.searchsorted(part, np.arange(parts + 1))
         used = np.flatnonzero(np.diff(edges))
         return pa.record_batch([
             pa.array(used, pa.int32()),
-            *(pa.array([x[edges[k]: edges[k + 1]].tobytes() for k in used], pa.binary())
-              for x in (hashes, lens.astype(np.uint32))),
+            pa.array([planes(lens[edges[k]: edges[k + 1]].astype(np.uint32)) for k in used], pa.binary()),
             pa.array([_gather(data, starts[edges[k]: edges[k + 1]], lens[edges[k]: edges[k + 1]])
-                      .tobytes() for k in used], pa.large_binary()),
+                      .tobytes() for k in used], pa.binary()),
         ], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,10 +147,10 @@ def _distinct_spans(space: bool, parts: int, flush: int = 1 << 21):
 def _encode_spans(path: str, folder: str):
     def run(table: pa.Table) -> pa.Table:
         part = table["part"][0].as_py()
-        hashes, lens, data = (
-            np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table[name]])
-            for name, kind in (("hashes", np.uint64), ("lens", np.uint32), ("bytes", np.uint8)))
-        lens = lens.astype(np.int64)
+        lens = from_planes(table["lens"], np.uint32).astype(np.int64)
+        data = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in table["bytes"]])
+        ends = np.cumsum(lens)
+        hashes = span_hashes(data, ends - lens, ends)
         order = np.argsort(hashes, kind="stable")
         starts = (np.cumsum(lens) - lens)[order]
         hashes, lens = hashes[order], lens[order]
@@ -181,11 +176,7 @@ def _encode_spans(path: str, folder: str):
         ends = np.cumsum(sizes, dtype=np.uint64)
         for name, values in (("hash", hashes), ("end", ends), ("size", np.where(collided, FLAGGED, sizes)),
                              ("ids", np.array(ids, id_type(path)))):
-            final = f"{folder}/{part}.{name}.npy"
-            own = f"{final}.{TaskContext.get().taskAttemptId()}"
-            with open(own, "wb") as out:
-                np.save(out, values)
-            os.replace(own, final)
+            store(folder, f"{part}.{name}", values)
         return pa.table({"part": pa.array([part], pa.int32()), "n": pa.array([len(hashes)], pa.int64())})
 
     return run
@@ -204,7 +195,7 @@ class Encoder:
         folder = shared_folder(texts.sparkSession, "spans")
         found = texts.select("text").mapInArrow(
             _distinct_spans(keeps_space(path), parts),
-            "part int, hashes binary, lens binary, bytes binary")
+            "part int, lens binary, bytes binary")
         found.groupBy("part").applyInArrow(_encode_spans(path, folder), "part int, n bigint") \
             .agg(F.sum("n")).collect()
         return Encoder(path, folder, parts)
@@ -214,7 +205,7 @@ class Encoder:
 
     def _look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sorted distinct hashes: sizes, and their ids one after another."""
-        edges = np.searchsorted(_range_of(hashes, self.parts), np.arange(self.parts + 1))
+        edges = np.searchsorted(range_of(hashes, self.parts), np.arange(self.parts + 1))
         sizes, ids = np.zeros(len(hashes), np.int64), []
         for part in np.flatnonzero(np.diff(edges)):
             own = slice(edges[part], edges[part + 1])
