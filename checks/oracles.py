@@ -6,7 +6,7 @@ from checks.views import CAPPED_RUN, ORDERS_RUN_TS, RUN, TEST_RULES, duck_listin
 from handbill.config import KNOWN_CITIES, STREAMS
 from handbill.functions.dates import POLISH_MONTHS, POLISH_SHORT_MONTHS
 from handbill.operators import digest as texts
-from handbill.sources.pages import ENTITIES, STUB_PREFIX
+from handbill.sources.pages import STUB_PREFIX
 
 RUN_DATE = f"DATE '{RUN.run_ts:%Y-%m-%d}'"
 RUN_TIME = f"TIMESTAMP '{RUN.run_ts:%Y-%m-%d %H:%M:%S}'"
@@ -335,7 +335,9 @@ def _markdown(x: str) -> str:
 
 
 def _decode(x: str) -> str:
-    for entity, char in ENTITIES:
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+                         ("&nbsp;", " "), ("&ndash;", "–"), ("&middot;", "·"), ("&copy;", "©"),
+                         ("&oacute;", "ó"), ("&amp;", "&")):
         x = f"replace({x}, {quote(entity)}, {quote(char)})"
     return x
 
@@ -458,6 +460,12 @@ SELECT page_id, CAST(row_no AS INT) AS row_no,
   CASE WHEN page_id % 2 = 0 THEN 'Gdynia' END AS city, 'meetup | AI, Data' AS subcategory,
   'AI, Data' AS description, page_id % 3 = 0 AS is_free
 FROM rows"""
+ORACLES["html_rows_nested"] = f"""WITH {_ROWS}
+SELECT page_id, CAST(row_no AS INT) AS row_no,
+  array_to_string(list_filter([{_text_of('label')}, 'Róża'], lambda p: p <> ''), ' ') AS title,
+  {_BASE} || '/wydarzenia' || path || '?a=1&b=2' AS url, 'Sopot' AS city,
+  'meet&greet | X' AS subcategory, 'X' AS description, page_id % 3 = 0 AS is_free
+FROM rows"""
 ORACLES["html_cards"] = f"""WITH {_ROWS}
 SELECT page_id, {_text_of('label')} AS title, {_BASE} || '/imprezy' || path AS url,
   CASE WHEN page_id % 4 = 0 THEN '2024-06-19' ELSE {_ROLLED} || 'T18:30' END AS start,
@@ -609,6 +617,7 @@ SELECT category, rank, seq FROM r WHERE rank <= {CAPPED_RUN.cap}"""
 _ORDERS_RANKED = """SELECT o_orderpriority, row_number() OVER (PARTITION BY o_orderpriority
   ORDER BY o_totalprice DESC, o_orderdate ASC NULLS LAST, o_orderkey) AS rank, o_orderkey FROM orders"""
 ORACLES["cap_orders"] = f"SELECT * FROM ({_ORDERS_RANKED}) WHERE rank <= 100"
+ORACLES["cap_orders_large"] = f"SELECT * FROM ({_ORDERS_RANKED}) WHERE rank <= 5000"
 ORACLES["rank_orders"] = _ORDERS_RANKED
 ORACLES["digest_lines"] = f"""WITH {_EARLIER},
 fresh AS (SELECT * FROM st WHERE status <> 'unchanged'){ranked('fresh', 'status')}

@@ -16,7 +16,7 @@ from handbill.operators import state as states
 from handbill.plans.run import judge, keep_and_dedup, rank_new
 from handbill.schema import STATE_COLUMNS
 from handbill.session import shared_path, spread
-from handbill.sources import jsonld, listings as feeds, pages as pages_src, sinks
+from handbill.sources import jsonld, listings as feeds, markup, pages as pages_src, sinks
 from handbill.streaming import runs as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -237,19 +237,19 @@ def jsonld_itemlist(spark, sf_dir):
                        "artist", "subcategory")
 
 
-_LIST_ROWS = pages_src.RowLayout(
-    start="<li>", stop="</li>",
-    cells={"href": (r'<a href="([^"]*)"', 1), "label": (r"(?s)<a [^>]*>(.*?)</a>", 1)},
+_LIST_ROWS = markup.RowLayout(
+    markup.Element("li"),
+    {"href": markup.Cell(markup.Element("a", {"href": ""}), "href"),
+     "label": markup.Cell(markup.Element("a"))},
 )
 
 
 @query
 def html_rows(spark, sf_dir):
     """The list rows that the pages hold as they are."""
-    rows = pages_src.html_blocks(_pages(spark, sf_dir), _LIST_ROWS, ["page_id", "base_url"])
+    rows = markup.layout_rows(_pages(spark, sf_dir), _LIST_ROWS, ["page_id"])
     return rows.where(F.col("href") != "").select(
-        "page_id", "row_no", pages_src.text_of(F.col("label")).alias("title"), "href"
-    )
+        "page_id", "row_no", F.col("label").alias("title"), "href")
 
 
 _ROW = r'<li><a href="(/[^"]*)">([^<]*)</a></li>'
@@ -263,7 +263,7 @@ def _month_day(column: Column) -> Column:
 @query
 def html_table_rows(spark, sf_dir):
     """The same rows laid out as table columns, read by the table parser."""
-    markup = F.concat(
+    row = F.concat(
         F.lit('<a class="row clearfix" href="/wydarzenia$1"><div class="colTab date">'
               '<span class="num">'),
         F.date_format(_month_day(F.col("page_id")), "dd.MM"),
@@ -274,11 +274,28 @@ def html_table_rows(spark, sf_dir):
         F.when(F.col("page_id") % 3 == 0, F.lit("Bezpłatne")).otherwise(F.lit("płatne")),
         F.lit('</div><div class="colTab type">meetup</div></a>'),
     )
-    pages = _pages(spark, sf_dir).withColumn("html", F.regexp_replace("html", F.lit(_ROW), markup))
+    pages = _pages(spark, sf_dir).withColumn("html", F.regexp_replace("html", F.lit(_ROW), row))
     rows = pages_src.html_rows(pages.select("page_id", "base_url", "html"), RUN_TS)
     return rows.drop("base_url")
 
 
+@query
+def html_rows_nested(spark, sf_dir):
+    """The table rows again, as markup that a pattern would miss: deep nesting of one element, any
+    quoting and case, character references in text and links, comments, sections inside."""
+    row = F.concat(
+        F.lit("<A HREF='/wydarzenia$1?a=1&amp;b=2' Class=clearfix><!-- </a> --><section><div class='colTab title'>"
+              "<div><div><div><div><div><div><b>$2</b></div></div></div></div></div></div> R&oacute;&#380;a"
+              "<div class='topics'><div>X</div></div></div></section><DIV CLASS=\"colTab city\">Sopot</DIV>"
+              "<div title='a > b' class='colTab cost'>"),
+        F.when(F.col("page_id") % 3 == 0, F.lit("Bezp&#322;atne")).otherwise(F.lit("p&lstrok;atne")),
+        F.lit("</div><div class='colTab type'>meet&amp;greet</div><br></A>"),
+    )
+    pages = _pages(spark, sf_dir).withColumn("html", F.regexp_replace("html", F.lit(_ROW), row))
+    rows = pages_src.html_rows(pages.select("page_id", "base_url", "html"), RUN_TS)
+    return rows.drop("base_url", "start")
+
+
 @query
 def html_cards(spark, sf_dir):
     """The same rows laid out as cards, read by the card parser."""
@@ -294,15 +311,15 @@ def html_cards(spark, sf_dir):
     place = (F.lit('<span class="event__item__location__city">Sopot,</span>'
                    '<span class="event__item__location__place">Molo</span>'))
     price = F.when(F.col("page_id") % 3 == 0, F.lit("od 45 zł")).otherwise(F.lit("Wstęp wolny"))
-    markup = F.concat(
+    row = F.concat(
         F.lit('<div class="event__item"><a class="event__item__title" href="imprezy$1">'
               '<span class="event__item__title__name">$2 ( 3 opinie )</span></a>'),
         F.when(F.col("page_id") % 4 == 0, span).otherwise(icon),
         F.when(F.col("page_id") % 5 == 0, F.lit("")).otherwise(place),
-        F.lit('<p class="event__price__info">'), price, F.lit("</p></div>"
+        F.lit('<section><nav>x</nav></section><p class="event__price__info">'), price, F.lit("</p></div>"
               '<div class="event__item"><a class="event__item__title" href="/b">Kup bilety</a></div>'),
     )
-    pages = _pages(spark, sf_dir).withColumn("html", F.regexp_replace("html", F.lit(_ROW), markup))
+    pages = _pages(spark, sf_dir).withColumn("html", F.regexp_replace("html", F.lit(_ROW), row))
     rows = pages_src.html_cards(pages.select("page_id", "base_url", "html"), RUN_TS)
     return rows.select("page_id", "title", "url", "start", "end", "city", "venue", "price_min",
                        "is_free")
@@ -750,10 +767,19 @@ def _order_keys() -> list[Column]:
 @query
 def cap_orders(spark, sf_dir):
     """The dearest 100 orders of every priority."""
-    top = rank.top_per_group(
-        table(spark, sf_dir, "orders"), "o_orderpriority", _order_keys(), 100
-    )
-    return top.select("o_orderpriority", "rank", "o_orderkey")
+    return _dearest(spark, sf_dir, 100)
+
+
+@query
+def cap_orders_large(spark, sf_dir):
+    """The dearest 5000 orders of every priority: more than a window's group limit covers."""
+    return _dearest(spark, sf_dir, 5000)
+
+
+def _dearest(spark: SparkSession, sf_dir: str, cap: int) -> DataFrame:
+    group = "o_orderpriority"
+    top = rank.top_per_group(table(spark, sf_dir, "orders"), F.col(group), group, _order_keys(), cap)
+    return top.select(group, "rank", "o_orderkey")
 
 
 @query

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from handbill.operators.rank import top_per_group
 
 
 def budget_admission(outcomes: DataFrame, run: str, order: list[str], metered: Column,
@@ -11,19 +13,17 @@ def budget_admission(outcomes: DataFrame, run: str, order: list[str], metered: C
 
     A metered source wants one; another one only when its own attempt failed or was empty
     and it has a fallback. Fetches cost 1 and are granted in registry order, so those
-    granted are the first ``budget`` that want one. The window sees only wanting rows and
-    its group limit runs before the exchange, so a run of any size sends a task at most
-    ``budget`` rows; the run's last granted place then comes back over a join.
+    granted are the first ``budget`` that want one. Only wanting rows are
+    numbered, and no run's rows meet in one task whatever the budget; the run's last granted
+    place then comes back over a join.
     """
     place = F.struct(*order)
     wanting = outcomes.withColumn("wants", F.coalesce(metered | (empty & fallback), F.lit(False)))
     if budget <= 0:
         return _decide(wanting.withColumn("granted", F.lit(False)), metered)
-    window = Window.partitionBy(run).orderBy(*order)
     cut = (
-        wanting.where("wants")
-        .select(run, *order, F.row_number().over(window).alias("_n"))
-        .where(F.col("_n") <= budget)
+        top_per_group(wanting.where("wants").select(run, *order), F.col(run), run,
+                      [F.col(c).asc() for c in order], budget, "_n")
         .groupBy(run)
         .agg(F.max(place).alias("_last"))
     )

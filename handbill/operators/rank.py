@@ -7,14 +7,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from handbill.config import STREAMS, RunConfig
 from handbill.functions.text import keyword_hits
 from handbill.operators.dedup import source_trust
-from handbill.session import checkpoint_dir
+from handbill.session import shared_path
 
 # Score of an undated event, hits for a full topical score.
 UNDATED_PROXIMITY = 0.3
 FULL_TOPICAL_HITS = 3.0
 
-# Largest cap ranked by a window; above it rows are ranked by range partitions.
-_WINDOW_CAP = 10_000
+# Rows of one range partition when whole groups are numbered.
+ROWS_PER_PARTITION = 1_000_000
 
 
 def relevance_score(config: RunConfig) -> Column:
@@ -49,50 +49,58 @@ def _order(score: str, start: str, seq: str) -> list[Column]:
     return [F.col(score).desc(), F.col(start).asc_nulls_last(), F.col(seq).asc()]
 
 
-def top_per_group(df: DataFrame, group: str, order: list[Column], cap: int,
+def top_per_group(df: DataFrame, group_order: Column, group: str, order: list[Column], cap: int,
                   rank: str = "rank") -> DataFrame:
-    """The first ``cap`` rows of every group. The group limit also runs before the exchange,
-    so a task sends at most ``cap`` rows of a group whatever the group's size."""
+    """The first ``cap`` rows of every group, numbered from 1.
+
+    Up to the planner's limit for it, a window's group limit also runs before the exchange, so a
+    task sends at most ``cap`` rows of a group. The planner leaves that out for a larger cap, and then
+    the rows are numbered by :func:`rank_all`, which needs no group in one task.
+    """
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if cap > limit:
+        return rank_all(df, group_order, group, order, rank).where(F.col(rank) <= cap)
     window = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= cap)
+    numbered = df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= cap)
+    return numbered.withColumn(rank, F.col(rank).cast("bigint"))
 
 
 def rank_all(df: DataFrame, group_order: Column, group: str, order: list[Column],
-             rank: str = "rank", partitions: int | None = None) -> DataFrame:
+             rank: str = "rank", rows: int = ROWS_PER_PARTITION) -> DataFrame:
     """Number all rows of every group in order, without putting a group into one task.
 
-    Rows are range-partitioned on the sort keys and sorted inside partitions; the result is
-    checkpointed, because partition numbers must not change between its two uses. A row's
-    rank is its place in its partition plus the rows of its group in earlier partitions;
-    those counts are one row per partition and group.
+    Rows are written once, range-partitioned on the sort keys into about ``rows`` each, and sorted
+    inside partitions; the result is written too, because partition numbers must not change between its
+    two uses. A row's rank is its place in its partition plus the rows of its group in earlier
+    partitions; those counts are one row per partition and group.
     """
     spark = df.sparkSession
-    checkpoint_dir(spark)
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    written, placed = shared_path(spark, "rank-rows"), shared_path(spark, "rank-placed")
+    df.write.parquet(written)
+    source = spark.read.schema(df.schema).parquet(written)
+    count = max(1, -(-source.count() // rows))
     keys = [group_order.asc(), *order]
-    placed = (
-        df.repartitionByRange(count, *keys)
+    (
+        source.repartitionByRange(count, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_place", F.monotonically_increasing_id())
-        .checkpoint()
+        .write.parquet(placed)
     )
-    counts = placed.groupBy("_pid", group).agg(
+    numbered = spark.read.parquet(placed)
+    counts = numbered.groupBy("_pid", group).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first")
     )
     before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        "_pid", F.col(group).alias("_group"), "_first",
+        F.col("_pid").alias("_at"), F.col(group).alias("_group"), "_first",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
     )
     return (
-        placed.alias("p")
-        .join(
-            F.broadcast(offsets.alias("o")),  # at most partitions x groups rows
-            (F.col("p._pid") == F.col("o._pid")) & F.col(group).eqNullSafe(F.col("_group")),
-        )
+        numbered.join(
+            offsets, (F.col("_pid") == F.col("_at")) & F.col(group).eqNullSafe(F.col("_group")))
         .withColumn(rank, F.col("_place") - F.col("_first") + F.col("_before") + 1)
-        .drop("_pid", "_place", "_group", "_first", "_before")
+        .select(*df.columns, rank)
     )
 
 
@@ -107,7 +115,7 @@ def rank_streams(events: DataFrame, config: RunConfig) -> DataFrame:
         .where(F.col("stream_no") > 0)
     )
     order = _order("relevance_score", "start_datetime", "seq")
-    if 0 < config.cap <= _WINDOW_CAP:
-        return top_per_group(scored, "category", order, config.cap)
-    ranked = rank_all(scored, F.col("stream_no"), "category", order)
-    return ranked if config.cap <= 0 else ranked.where(F.col("rank") <= config.cap)
+    number = F.col("stream_no")
+    if config.cap > 0:
+        return top_per_group(scored, number, "category", order, config.cap)
+    return rank_all(scored, number, "category", order)

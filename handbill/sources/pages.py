@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from handbill.functions.dates import parse_date_range, roll_calendar_icon, roll_day_month
 from handbill.functions.text import strip
+from handbill.sources.markup import Cell, Element, RowLayout, layout_rows
 
 # Title prefix and text length of a page kept for later extraction.
 STUB_PREFIX = "[do ekstrakcji] "
@@ -16,13 +16,6 @@ STUB_CHARS = 2000
 
 _NOT_TEXT = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>"
 
-# Character references decoded in page text, the ampersand last.
-ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", " "), ("&ndash;", "–"), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"),
-)
-
-
 def landed_pages(spark: SparkSession, path: str) -> DataFrame:
     """Fetched pages (``page_id``, ``url``, ``html``) with scheme-and-host and host of the url."""
     return spark.read.parquet(path).select(
@@ -33,18 +26,6 @@ def landed_pages(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def decode_entities(c: Column) -> Column:
-    for entity, char in ENTITIES:
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
-
-
-def text_of(html: Column) -> Column:
-    """Text pieces between tags, each trimmed, joined by single spaces; '' for NULL."""
-    pieces = F.transform(F.split(html, r"(?s)<[^>]*>"), lambda p: strip(decode_entities(p)))
-    return F.coalesce(F.array_join(F.filter(pieces, lambda p: p != ""), " "), F.lit(""))
-
-
 def visible_text(html: Column) -> Column:
     """Whole readable text of a page: scripts, styles, comments and tags out."""
     return F.trim(F.regexp_replace(F.regexp_replace(html, _NOT_TEXT, " "), r"\s+", " "))
@@ -71,40 +52,26 @@ def page_stub(pages: DataFrame, name: Column, body: Column, max_chars: int = STU
     )
 
 
-@dataclass(frozen=True)
-class RowLayout:
-    """Repeated rows of a page: a row begins at each tag that matches ``start`` and ends where
-    the next one begins or ``stop`` matches. A cell is a pattern and its wanted group."""
-
-    start: str
-    stop: str
-    cells: dict[str, tuple[str, int]] = field(default_factory=dict)
-
-
-def _element(classes: str, depth: int = 4) -> tuple[str, int]:
-    """An element whose class attribute matches: its content up to the end tag that closes it,
-    with elements of the same name nested up to ``depth`` levels, or to the end of the row."""
-    body = r"(?:[^<]++|<(?!/?\1\b))*+"
-    for _ in range(depth):
-        body = rf"(?:[^<]++|<(?!/?\1\b)|<\1\b[^>]*>{body}</\1>)*+"
-    return rf'(?s)<(\w+)\b[^>]*?\bclass="{classes}"[^>]*>({body})(?:</\1>|$)', 2
+def _class(name: str) -> dict[str, str]:
+    """A class attribute that names this class."""
+    return {"class": rf"(?:^|\s){name}(?:\s|$)"}
 
 
-def _column(name: str) -> tuple[str, int]:
-    return _element(rf'(?=[^"]*\bcolTab\b)[^"]*(?<![\w-]){name}(?![\w-])[^"]*')
+def _classed(name: str) -> Cell:
+    return Cell(Element("", _class(name)))
 
 
-def _classed(name: str) -> tuple[str, int]:
-    return _element(rf'(?:[^"]*\s)?{name}(?:\s[^"]*)?')
+def _column(name: str, without: Element | None = None) -> Cell:
+    both = rf"^(?=.*\bcolTab\b).*(?<![\w-]){name}(?![\w-])"
+    return Cell(Element("", {"class": rf"(?s){both}"}), without=without)
 
 
 # Markup of the two listing layouts.
 TABLE_ROWS = RowLayout(
-    start=r'<a\s(?=[^>]*class="[^"]*\bclearfix\b)(?=[^>]*href="[^"]*/wydarzenia/)[^>]*>',
-    stop=r"</a>",
-    cells={
-        "href": (r'^<a\s[^>]*?href="([^"]*)"', 1),
-        "title": _column("title"),
+    Element("a", {"class": r"\bclearfix\b", "href": "/wydarzenia/"}),
+    {
+        "href": Cell(attribute="href"),
+        "title": _column("title", without=Element("", _class("topics"))),
         "topics": _classed("topics"),
         "date": _column("date"),
         "num": _classed("num"),
@@ -115,20 +82,17 @@ TABLE_ROWS = RowLayout(
 )
 
 CARDS = RowLayout(
-    start=r'<div[^>]*class="(?:[^"]*\s)?event__item(?:\s[^"]*)?"[^>]*>',
-    stop=r"</section>|</main>|</nav>|</body>|<footer\b",
-    cells={
+    Element("div", _class("event__item")),
+    {
+        "block": Cell(),
         "title_name": _classed("event__item__title__name"),
         "title": _classed("event__item__title"),
-        "href": (
-            r'<a\s(?=[^>]*class="(?:[^"]*\s)?event__item__title(?:\s[^"]*)?")'
-            r'[^>]*?href="([^"]*)"', 1,
-        ),
-        "ticket_href": (r'<a\s[^>]*?href="([^"]*/impreza/[^"]*)"', 1),
+        "href": Cell(Element("a", {**_class("event__item__title"), "href": ""}), "href"),
+        "ticket_href": Cell(Element("a", {"href": "/impreza/"}), "href"),
         "month": _classed("calendar-icon__icon__month"),
         "day": _classed("calendar-icon__icon__day"),
         "hour": _classed("event__item__date__hour"),
-        "calendar": _element('[^"]*info__calendar[^"]*'),
+        "calendar": Cell(Element("", {"class": "info__calendar"})),
         "city": _classed("event__item__location__city"),
         "place": _classed("event__item__location__place"),
         "price": _classed("event__price__info"),
@@ -137,52 +101,28 @@ CARDS = RowLayout(
 )
 
 
-def html_blocks(pages: DataFrame, layout: RowLayout, keep: list[str]) -> DataFrame:
-    """One row per repeated block: kept columns, ``row_no`` in the page, one column per cell.
-
-    Cells are raw markup, '' when absent. Narrow: a page's rows stay in its partition.
-    """
-    pieces = F.filter(
-        F.split("html", f"(?={layout.start})"), lambda piece: piece.rlike(f"^{layout.start}")
-    )
-    blocks = F.transform(pieces, lambda piece: F.get(F.split(piece, layout.stop, 2), 0))
-    rows = pages.select(*keep, F.posexplode(blocks).alias("row_no", "block"))
-    return rows.withColumns(
-        {
-            name: F.regexp_extract("block", pattern, group)
-            for name, (pattern, group) in layout.cells.items()
-        }
-    )
-
-
 def html_rows(pages: DataFrame, run_ts: datetime, layout: RowLayout = TABLE_ROWS) -> DataFrame:
     """Table layout: link, title without topics, day and month, city, cost, type.
 
     ``pages`` carries ``source``, ``base_url`` and ``html``; rows without a title are skipped.
     """
     keep = [c for c in pages.columns if c != "html"]
-    cells = html_blocks(pages, layout, keep)
-    topic_markup = layout.cells["topics"][0]
-    date_text = F.when(text_of(F.col("date")) != "", text_of(F.col("date"))).otherwise(
-        text_of(F.col("num"))
-    )
-    topics = text_of(F.col("topics"))
+    topics = F.col("topics")
+    date_text = F.when(F.col("date") != "", F.col("date")).otherwise(F.col("num"))
     return (
-        cells.where(F.col("href") != "")
-        .withColumn("_title", text_of(F.regexp_replace("title", topic_markup, "")))
-        .where(F.col("_title") != "")
+        layout_rows(pages, layout, keep)
+        .where((F.col("href") != "") & (F.col("title") != ""))
         .select(
-            *keep, "row_no",
-            F.col("_title").alias("title"),
+            *keep, "row_no", "title",
             absolute_link(F.col("href"), F.col("base_url")).alias("url"),
             roll_day_month(date_text, run_ts).alias("start"),
-            F.nullif(text_of(F.col("city")), F.lit("")).alias("city"),
+            F.nullif(F.col("city"), F.lit("")).alias("city"),
             F.concat(
-                text_of(F.col("type")),
+                F.col("type"),
                 F.when(topics != "", F.concat(F.lit(" | "), topics)).otherwise(F.lit("")),
             ).alias("subcategory"),
             topics.alias("description"),
-            F.contains(F.lower(text_of(F.col("cost"))), F.lit("bezp")).alias("is_free"),
+            F.contains(F.lower("cost"), F.lit("bezp")).alias("is_free"),
         )
     )
 
@@ -192,19 +132,16 @@ def html_cards(pages: DataFrame, run_ts: datetime, layout: RowLayout = CARDS,
     """Card layout: title without the opinion count, calendar icon or date range, place, price."""
     keep = [c for c in pages.columns if c not in ("html", "force_category")]
     force = F.col("force_category") if "force_category" in pages.columns else F.lit(None)
-    cells = html_blocks(pages, layout, [*keep, force.cast("string").alias("force_category")])
-    name = text_of(F.col("title_name"))
-    raw_title = F.when(name != "", name).otherwise(text_of(F.col("title")))
+    cells = layout_rows(
+        pages.withColumn("force_category", force.cast("string")), layout, [*keep, "force_category"])
+    raw_title = F.when(F.col("title_name") != "", F.col("title_name")).otherwise(F.col("title"))
     title = strip(F.regexp_replace(raw_title, r"(?U)\s*\(\s*\d+\s*opini[ae]\w*\s*\)", ""))
     href = F.when(F.col("href") != "", F.col("href")).otherwise(F.col("ticket_href"))
-    icon = roll_calendar_icon(
-        text_of(F.col("month")), text_of(F.col("day")), text_of(F.col("hour")), run_ts
-    )
-    calendar = F.when(F.col("calendar") != "", F.col("calendar")).otherwise(F.col("block"))
-    first, last = parse_date_range(text_of(calendar))
-    price = F.lower(text_of(F.col("price")))
-    label = F.lower(text_of(F.col("price_label")))
-    city = F.rtrim(text_of(F.col("city")), F.lit(","))
+    icon = roll_calendar_icon(F.col("month"), F.col("day"), F.col("hour"), run_ts)
+    first, last = parse_date_range(
+        F.when(F.col("calendar") != "", F.col("calendar")).otherwise(F.col("block")))
+    price, label = F.lower("price"), F.lower("price_label")
+    city = F.rtrim(F.col("city"), F.lit(","))
     free = F.lit(False)
     for text, word in ((price, "wolny"), (label, "wolny"), (F.concat(price, label), "bezp")):
         free = free | F.contains(text, F.lit(word))
@@ -218,7 +155,7 @@ def html_cards(pages: DataFrame, run_ts: datetime, layout: RowLayout = CARDS,
             F.coalesce(icon, first).alias("start"),
             F.when(icon.isNull(), last).alias("end"),
             F.when(city != "", city).otherwise(F.lit(default_city)).alias("city"),
-            text_of(F.col("place")).alias("venue"),
+            F.col("place").alias("venue"),
             F.nullif(F.regexp_extract(price, r"(\d+)", 1), F.lit("")).alias("price_min"),
             free.alias("is_free"),
             "force_category",

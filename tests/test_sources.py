@@ -64,6 +64,31 @@ def test_cards(spark):
     ]
 
 
+def nested(depth):
+    return "<div>" * depth + "Deep" + "</div>" * depth
+
+
+def test_rows_of_any_nesting_quoting_and_case(spark):
+    html = f"""<BODY><A CLASS='x clearfix' HREF='/wydarzenia/a?x=1&amp;y=2'><!-- <a> -->
+      <div class='colTab title'>{nested(9)} R&oacute;&#380;a &lt;b&gt;</div><script>"</a>"</script>
+      <div title='a > b' class=colTab><p class='colTab city'>Sopot</p></div><br>
+      <div class="colTab type">talk</A><a class=clearfix href=/wydarzenia/b><p class="colTab title">Two</body>"""
+    rows = pages.html_rows(page_frame(spark, html), RUN).orderBy("row_no").collect()
+    assert [(r.title, r.url, r.city, r.subcategory) for r in rows] == [
+        ("Deep Róża <b>", "https://s.example/wydarzenia/a?x=1&y=2", "Sopot", "talk"),
+        ("Two", "https://s.example/wydarzenia/b", None, ""),
+    ]
+
+
+def test_cards_end_where_their_element_ends(spark):
+    html = """<main><div class='event__item'><section><div><a class='event__item__title' href='a'>One</a></div>
+      </section><nav>x</nav><footer>y</footer><p class='event__price__info'>od 45 zl</p></div>
+      <p class='event__item__location__city'>Outside</p></main>"""
+    frame = page_frame(spark, html, force_category="concert")
+    assert [(r.title, r.price_min, r.city) for r in pages.html_cards(frame, RUN).collect()] == [
+        ("One", "45", "Trojmiasto")]
+
+
 def script(value):
     text = value if isinstance(value, str) else json.dumps(value)
     return f'<script type="application/ld+json">{text}</script>'
