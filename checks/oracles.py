@@ -8,6 +8,9 @@ from handbill.functions.dates import POLISH_MONTHS, POLISH_SHORT_MONTHS
 from handbill.operators import digest as texts
 from handbill.sources.pages import STUB_PREFIX
 
+_REASONS = ("no_category", "excluded:sports_or_league_match", "geo:ai_digital_outside_tricity_not_large",
+            "geo:culture_family_outside_tricity", "geo:concert_outside_tricity_not_world_class", "date:past",
+            "date:beyond_window")
 RUN_DATE = f"DATE '{RUN.run_ts:%Y-%m-%d}'"
 RUN_TIME = f"TIMESTAMP '{RUN.run_ts:%Y-%m-%d %H:%M:%S}'"
 ORDERS_DATE = f"DATE '{ORDERS_RUN_TS:%Y-%m-%d}'"
@@ -589,6 +592,15 @@ SELECT dedup_key, delivered OR dedup_key IN (SELECT dedup_key FROM shown) AS del
 FROM u"""
 ORACLES["drop_report"] = f"""WITH {judged()}
 SELECT drop_reason, count(*) AS n FROM j WHERE drop_reason IS NOT NULL GROUP BY 1"""
+ORACLES["source_drop_matrix"] = f"""WITH {judged()}
+SELECT source, count(*) AS found, count(*) FILTER (WHERE drop_reason IS NULL) AS kept,
+  {", ".join(f"count(*) FILTER (WHERE drop_reason = '{r}') AS {r.replace(':', '_')}" for r in _REASONS)}
+FROM j GROUP BY source"""
+ORACLES["source_break"] = """
+WITH e AS (SELECT event_type || '|' || user_id AS source, CAST(least((day(ts) - 1) // 10, 2) AS INT) AS run FROM events),
+c AS (SELECT run, source, count(*) AS found FROM e GROUP BY 1, 2),
+h AS (SELECT source, min(found) AS least_found, count(*) AS runs FROM c WHERE run < 2 GROUP BY 1)
+SELECT * FROM h WHERE least_found >= 1 AND source NOT IN (SELECT source FROM c WHERE run = 2)"""
 ORACLES["source_report"] = f"""WITH l AS ({duck_listing()}), reg AS ({duck_registry()})
 SELECT source_id, enabled, count(seq) AS found,
   count(*) FILTER (WHERE length(description) < 1000) AS stubs
@@ -654,9 +666,8 @@ ORACLES["stream_dedup"] = "SELECT DISTINCT user_id, event_type FROM events"
 ORACLES["stream_drop_report"] = f"""
 SELECT date_trunc('day', ts) AS period_start, {_DROP} AS drop_reason, count(*) AS n
 FROM events WHERE {_DROP} IS NOT NULL
-GROUP BY 1, 2
-HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (
-  SELECT max(ts) FROM events WHERE {_DROP} IS NOT NULL) - INTERVAL 1 HOUR"""
+GROUP BY 1, 2"""
+ORACLES["stream_judge"] = ORACLES["apply_filters"]
 ORACLES["stream_status"] = """
 WITH e AS (SELECT *, event_type || '|' || user_id AS dedup_key,
              CAST(least((day(ts) - 1) // 10, 2) AS INT) AS batch_id FROM events),

@@ -688,6 +688,20 @@ def drop_report(spark, sf_dir):
     return report.drop_report(judge(raw_listings(spark, sf_dir), RUN))
 
 
+@query
+def source_drop_matrix(spark, sf_dir):
+    return report.source_drop_matrix(judge(raw_listings(spark, sf_dir), RUN))
+
+
+@query
+def source_break(spark, sf_dir):
+    """A user's events of one type as a source: some in each of the first two decades of a month, none after."""
+    events = table(spark, sf_dir, "events").select(
+        F.concat_ws("|", "event_type", "user_id").alias("source"), F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)).alias("run"))
+    found = events.groupBy("run", "source").agg(F.count("*").alias("found"))
+    return report.broken_sources(found.where("run < 2"), found.where("run = 2"))
+
+
 @query
 def source_report(spark, sf_dir):
     """Records and stubs per registered source; a short text counts as a stub here."""
@@ -887,12 +901,26 @@ def stream_dedup(spark, sf_dir):
 
 @query
 def stream_drop_report(spark, sf_dir):
-    """Drops per day, final once the watermark (one hour behind) has passed the day."""
+    """Drops per day as of the last batch, the last day included."""
     stream = streams.drop_counts(
         _event_stream(spark, sf_dir).withColumn("drop_reason", _drop_of_event()),
         "ts", "drop_reason", "1 day", "1 hour",
     )
-    return _finish(spark, stream, "stream-drops")
+    path = shared_path(spark, "stream-drops")
+    streams.run_updates(stream, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    updates = spark.read.option("recursiveFileLookup", True).parquet(f"{path}/out")
+    return streams.newest(updates, ["period_start", "drop_reason"], "n")
+
+
+@query
+def stream_judge(spark, sf_dir):
+    """Raw records that land as a stream, judged by the columns of a batch run."""
+    path = shared_path(spark, "stream-judge")
+    raw = raw_listings(spark, sf_dir)
+    raw.write.parquet(f"{path}/landing")
+    stream = judge(streams.landed_stream(spark, f"{path}/landing", raw.schema), RUN).select(
+        "seq", "category", "drop_reason", "national_scope", "scope_reason", "family_suitable")
+    return _finish(spark, stream, "stream-judged")
 
 
 def _latest(batch: DataFrame) -> DataFrame:

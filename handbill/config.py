@@ -127,7 +127,7 @@ class RunConfig:
     """Parameters of one run. ``run_ts`` is Warsaw wall-clock time; no stage reads a clock.
 
     ``window_days`` and ``max_per_stream`` override the rules when they are not ``None``
-    (0 is a value). ``max_per_stream <= 0`` means no cap.
+    (0 is a value). ``max_per_stream <= 0`` means no cap. ``fold_stroke`` folds the stroked l.
     """
 
     run_ts: datetime
@@ -138,6 +138,13 @@ class RunConfig:
     deliver_unchanged: bool = False
     inclusive_last_day: bool = False
     run_id: str | None = None
+    fold_stroke: bool = False
+
+    @property
+    def fetch_budget(self) -> int:
+        """The budget, under its own key or the one of existing rule files."""
+        rules = self.rules
+        return rules.get("fetch_budget_per_run", rules.get("firecrawl_budget_per_run", 0))
 
     @property
     def date_window_days(self) -> int:

@@ -40,6 +40,22 @@ _DAY_NAME = r"^(?:[^\d]*\s)?(\d{1,2})\.?\s+(\p{L}+)\.?,?\s+(\d{4})" + _CLOCK + r
 _NAME_DAY = r"^(?:[^\d]*\s)?(\p{L}+)\.?\s+(\d{1,2}),?\s+(\d{4})" + _CLOCK + r"$"
 
 
+# Looser layouts, each with its groups put in the order year, month, day, hour, minute, second, half of the
+# day, offset. Words before the day and a weekday are skipped.
+_LEAD = r"^(?:[^\d]*\s)?"
+_TIME = (
+    r"(?:[T ,]+(?:o\s+|at\s+|godz\.?\s*)?(\d{1,2}):(\d{2})(?::(\d{2})(?:\.\d+)?)?\s*([AaPp])?(?:\.?[Mm]\.?)?"
+    r"\s*(Z|[+-]\d{2}:?\d{2})?)?$"
+)
+_LOOSE = (
+    (_LEAD + r"(\d{1,2})[./-](\d{1,2})(?:[./-](\d{4}|\d{2}))?\.?" + _TIME, "$3|$2|$1"),
+    (_LEAD + r"(\d{1,2})\.?\s+(\p{L}+)\.?,?(?:\s+(\d{4}))?(?:\s*r\.)?" + _TIME, "$3|$2|$1"),
+    (_LEAD + r"(\p{L}+)\.?\s+(\d{1,2})(?:,?\s+(\d{4}))?" + _TIME, "$3|$1|$2"),
+    (r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})" + _TIME, "$1|$2|$3"),
+)
+_COMPACT_TIME = r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})?(Z|[+-]\d{2}:?\d{2})?$"
+
+
 def _month_number(name: Column, table: dict[str, int]) -> Column:
     """Month number of a name, NULL for an unknown one."""
     pairs = [item for key, value in table.items() for item in (F.lit(key), F.lit(value))]
@@ -54,14 +70,50 @@ def _date_text(year: Column, month: Column, day: Column) -> Column:
     return F.concat(year, F.lit("-"), F.lpad(month, 2, "0"), F.lit("-"), F.lpad(day, 2, "0"))
 
 
-def parse_dt(c: Column) -> Column:
+def _from_parts(p: Column, year: int | None) -> Column:
+    """Time from its parts as text; ``year`` is that of texts without one."""
+    month = F.when(p[1].rlike(r"^\d"), p[1]).otherwise(_month_number(p[1], _ALL_MONTHS).cast("string"))
+    full = (
+        F.when(p[0] == "", F.lit(None if year is None else str(year)).cast("string"))
+        .when(F.length(p[0]) == 2, F.concat(F.when(p[0] < "70", F.lit("20")).otherwise(F.lit("19")), p[0]))
+        .otherwise(p[0])
+    )
+    hour = F.coalesce(p[3].try_cast("int"), F.lit(0))
+    half = F.lower(p[6])
+    hour = F.when((half == "p") & (hour < 12), hour + 12).when((half == "a") & (hour == 12), 0).otherwise(hour)
+    second = F.when(p[5] == "", F.lit("00")).otherwise(p[5])
+    minute = F.when(p[4] == "", F.lit("00")).otherwise(p[4])
+
+    def at(month: Column, day: Column) -> Column:
+        clock = F.concat_ws(":", F.lpad(hour.cast("string"), 2, "0"), minute, second)
+        return _ntz(F.concat(_date_text(full, month, day), F.lit(" "), clock))
+
+    local = F.coalesce(at(month, p[2]), at(p[2], month))
+    digits = F.rpad(F.regexp_replace(p[7], r"[^0-9]", ""), 4, "0")
+    ahead = F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int")
+    utc = local - F.make_dt_interval(mins=F.when(p[7].startswith("-"), -ahead).otherwise(ahead))
+    moved = F.convert_timezone(F.lit("UTC"), F.lit("Europe/Warsaw"), utc)
+    return F.when(p[7] == "", local).otherwise(moved)
+
+
+def _loose(s: Column, year: int | None) -> Column:
+    """The looser layouts; a text's parts are taken apart once."""
+    parts = F.when(s.rlike(_COMPACT_TIME), F.regexp_replace(s, _COMPACT_TIME, "$1|$2|$3|$4|$5|$6||$7"))
+    for pattern, date in _LOOSE:
+        parts = parts.when(s.rlike(pattern), F.regexp_replace(s, pattern, f"{date}|$4|$5|$6|$7|$8"))
+    return F.transform(F.array(F.split(parts, r"\|", -1)), lambda p: _from_parts(p, year))[0]
+
+
+def parse_dt(c: Column, run_ts: datetime | None = None) -> Column:
     """Timestamp text to Warsaw wall-clock time; see :func:`parse_trimmed_dt`."""
-    return parse_trimmed_dt(strip(c))
+    return parse_trimmed_dt(strip(c), run_ts)
 
 
-def parse_trimmed_dt(s: Column) -> Column:
+def parse_trimmed_dt(s: Column, run_ts: datetime | None = None) -> Column:
     """Timestamp text without outer blanks to Warsaw wall-clock time.
 
+    A text without a year gets that of ``run_ts``, and is NULL where none is given.
+
     Year-first layouts are month before day, all others day first (month first only where
     the middle number cannot be a month). Polish and English month names are known. A zone
     offset is taken off by arithmetic on the wall clock, so the session zone plays no part.
@@ -102,6 +154,7 @@ def parse_trimmed_dt(s: Column) -> Column:
         .when(s.rlike(_ISO_HOUR), _ntz(F.concat(s, F.lit(":00"))))
         .when(s.rlike(_COMPACT), rewritten(_COMPACT, "$1-$2-$3"))
         .when(s.rlike(_ISO_LOOSE), rewritten(_ISO_LOOSE, "$1 $2"))
+        .otherwise(_loose(s, run_ts.year if run_ts else None))
     )
 
 

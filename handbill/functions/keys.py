@@ -10,10 +10,14 @@ _NUMBER = r"(?i)^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$"
 
 
 def parse_price(c: Column) -> Column:
-    """Price text to a number: comma is a decimal point, ``zl`` is dropped, else NULL."""
+    """Price text to a number: comma is a decimal point, ``zl`` is dropped, else NULL.
+
+    A number too large for a double is NULL too.
+    """
     text = F.replace(F.replace(c, F.lit(","), F.lit(".")), F.lit("zl"), F.lit(""))
     text = strip(text)
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    value = F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def dedup_key(title_norm: Column, start: Column, city_norm: Column, venue_norm: Column) -> Column:

@@ -6,7 +6,6 @@ import unicodedata
 from functools import lru_cache
 from itertools import chain
 
-import pandas as pd
 from pyspark.sql import Column, functions as F
 
 from handbill.config import HOME_CITIES, KNOWN_CITIES
@@ -17,23 +16,27 @@ _SPACE_RUNS = r"(?U)[\s\x1c-\x1f]+"
 
 
 @lru_cache(maxsize=None)
-def _fold_tables() -> tuple[str, str]:
-    """(from, to) for ``translate``: letters to their base letter, combining marks deleted.
+def _fold_tables() -> tuple[str, str, dict[str, str]]:
+    """(from, to) for ``translate`` and the letters that fold into several.
 
-    Built from the Unicode data: every BMP letter below U+2000 and every full-width form
-    whose compatibility decomposition leaves one character, then all combining marks.
+    Built from the Unicode data: what the compatibility decomposition of a letter leaves
+    without combining marks; then the marks themselves, deleted. Composed Hangul stays, as one
+    spelling is used throughout.
     """
-    source, target = [], []
-    for code in chain(range(0x80, 0x2000), range(0xFF01, 0xFF5F)):
+    source, target, several = [], [], {}
+    for code in chain(range(0x80, 0xAC00), range(0xD7A4, 0xD800), range(0xE000, 0x30000)):
         char = chr(code)
-        folded = "".join(
-            c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c)
-        )
-        if len(folded) == 1 and folded != char:
+        decomposed = unicodedata.normalize("NFKD", char)
+        if decomposed == char:
+            continue
+        folded = "".join(c for c in decomposed if not unicodedata.combining(c))
+        if len(folded) == 1:
             source.append(char)
             target.append(folded)
-    marks = [chr(c) for c in range(0x300, 0xFFFE) if unicodedata.combining(chr(c))]
-    return "".join(source + marks), "".join(target)
+        elif folded:
+            several[char] = folded
+    marks = [chr(c) for c in range(0x300, 0x1F000) if unicodedata.combining(chr(c))]
+    return "".join(source + marks), "".join(target), several
 
 
 def strip(c: Column) -> Column:
@@ -51,12 +54,18 @@ def strip_accents(c: Column, fold_stroke: bool = False) -> Column:
 
     The stroked l has no decomposition and stays unless ``fold_stroke`` is set.
     """
-    source, target = _fold_tables()
+    source, target, several = _fold_tables()
     if fold_stroke:
         source, target = "łŁ" + source, "lL" + target
-    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(
-        F.translate(c, source, target)
-    )
+    # letters that fold into several are looked up one by one, only in texts that hold one
+    table = F.str_to_map(
+        F.lit("\x01".join(f"{k}\x02{v}" for k, v in several.items())), F.lit("\x01"), F.lit("\x02"))
+    spread = F.array_join(F.transform(
+        F.regexp_extract_all(c, F.lit("(?s)(.)")),
+        lambda x: F.when(F.octet_length(x) == 1, x).otherwise(F.coalesce(F.try_element_at(table, x), x))), "")
+    holds = F.octet_length(F.translate(c, "".join(several), "")) < F.octet_length(c)
+    wide = F.when(holds, spread).otherwise(c)
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(F.translate(wide, source, target))
 
 
 def norm(c: Column, fold_stroke: bool = False) -> Column:
@@ -65,24 +74,6 @@ def norm(c: Column, fold_stroke: bool = False) -> Column:
     return F.trim(F.regexp_replace(lowered, _SPACE_RUNS, " "))
 
 
-def norm_exact(c: Column) -> Column:
-    """``norm`` with the full Unicode decomposition (ligatures, fractions, Hangul).
-
-    An Arrow-batched Python function: use it only for feeds that hold such characters.
-    """
-    @F.pandas_udf("string")
-    def fold(values: pd.Series) -> pd.Series:
-        return values.map(
-            lambda v: "".join(
-                ch for ch in unicodedata.normalize("NFKD", v) if not unicodedata.combining(ch)
-            ),
-            na_action="ignore",
-        )
-
-    lowered = F.lower(fold(F.coalesce(c, F.lit(""))))
-    return F.trim(F.regexp_replace(lowered, _SPACE_RUNS, " "))
-
-
 def known_city(normed: Column) -> Column:
     """The first known city contained in an already normalised place, else the place."""
     branches = [F.when(F.contains(normed, F.lit(name)), F.lit(name)) for name in KNOWN_CITIES]

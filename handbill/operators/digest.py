@@ -29,9 +29,11 @@ def _filled(c: Column) -> Column:
 
 def price_label() -> Column:
     price = F.coalesce("price_min", F.lit(0.0))
+    whole = F.when(F.abs(price) < 2.0 ** 53, price.try_cast("bigint").cast("string")).otherwise(
+        F.format_string("%.0f", price))
     return (
         F.when(F.coalesce("is_free", F.lit(False)), F.lit("free"))
-        .when(price != 0, F.concat(price.cast("bigint").cast("string"), F.lit(" zl+")))
+        .when((price != 0) & (F.abs(price) < float("inf")), F.concat(whole, F.lit(" zl+")))
         .otherwise(F.lit("?"))
     )
 

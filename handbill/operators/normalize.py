@@ -34,8 +34,8 @@ def normalize(raw: DataFrame, run_ts: datetime) -> DataFrame:
             "source",
             F.coalesce(first_of(F.col("url"), F.col("source_url")), F.lit("")).alias("source_url"),
             title.alias("title"),
-            parse_trimmed_dt(F.col("start")).alias("start_datetime"),
-            parse_trimmed_dt(F.col("end")).alias("end_datetime"),
+            parse_trimmed_dt(F.col("start"), run_ts).alias("start_datetime"),
+            parse_trimmed_dt(F.col("end"), run_ts).alias("end_datetime"),
             "city",
             first_of(F.col("venue"), F.col("venue_name")).alias("venue_name"),
             "address",
@@ -64,17 +64,17 @@ def normalize(raw: DataFrame, run_ts: datetime) -> DataFrame:
     )
 
 
-def with_text(events: DataFrame) -> DataFrame:
+def with_text(events: DataFrame, fold_stroke: bool = False) -> DataFrame:
     """Folded texts, each computed once: title, place, the classified text and the full text."""
     folded = events.withColumns(
         {
-            "title_norm": norm(F.col("title")),
-            "subcategory_norm": norm(F.col("subcategory")),
-            "description_norm": norm(F.col("description")),
-            "venue_norm": norm(F.col("venue_name")),
-            "address_norm": norm(F.col("address")),
-            "artist_norm": norm(F.col("artist")),
-            "city_norm": norm(F.col("city")),
+            "title_norm": norm(F.col("title"), fold_stroke),
+            "subcategory_norm": norm(F.col("subcategory"), fold_stroke),
+            "description_norm": norm(F.col("description"), fold_stroke),
+            "venue_norm": norm(F.col("venue_name"), fold_stroke),
+            "address_norm": norm(F.col("address"), fold_stroke),
+            "artist_norm": norm(F.col("artist"), fold_stroke),
+            "city_norm": norm(F.col("city"), fold_stroke),
         }
     )
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from handbill.config import RunConfig
+from handbill.operators.rules import DROP_REASONS
 
 
 def drop_report(judged: DataFrame) -> DataFrame:
@@ -18,6 +19,29 @@ def drop_report(judged: DataFrame) -> DataFrame:
     )
 
 
+def source_drop_matrix(judged: DataFrame, reasons=DROP_REASONS) -> DataFrame:
+    """One row per source: rows found, kept, and dropped for each reason, 0 where none.
+
+    A reason's column has its name with an underscore for the colon.
+    """
+    reason = F.col("drop_reason")
+    return judged.groupBy("source").agg(
+        F.count(F.lit(1)).alias("found"), F.count_if(reason.isNull()).alias("kept"),
+        *[F.count_if(reason == name).alias(name.replace(":", "_")) for name in reasons],
+    )
+
+
+def broken_sources(history: DataFrame, current: DataFrame, least: int = 1) -> DataFrame:
+    """Sources that gave at least ``least`` records in every earlier run and none in this one.
+
+    ``history`` holds (run, source, found), ``current`` (source, found). A source that was asked and
+    gave nothing and one that is missing are both broken; one new to the runs is not.
+    """
+    usual = history.groupBy("source").agg(F.min("found").alias("least_found"), F.count("*").alias("runs"))
+    now = current.where(F.col("found") > 0).select("source")
+    return usual.where(F.col("least_found") >= least).join(now, "source", "left_anti")
+
+
 def source_outcomes(attempts: DataFrame) -> DataFrame:
     """One row per source from its attempts (``source``, ``n_records``, ``error``).
 

@@ -79,7 +79,7 @@ def collect(sources: list[dict], pages: DataFrame, fallback_pages: DataFrame,
         metered=F.col("registry_method") == METERED,
         empty=F.coalesce("first_found", F.lit(0)) == 0,
         fallback=F.coalesce(F.col("fallback") == METERED, F.lit(False)),
-        budget=config.rules["fetch_budget_per_run"],
+        budget=config.fetch_budget,
     )
     metered = F.col("registry_method") == METERED
     took_second = F.col("granted") & ~metered

@@ -24,7 +24,7 @@ from handbill.sources.sinks import write_digest, write_digest_sections, write_re
 
 def judge(raw: DataFrame, config: RunConfig) -> DataFrame:
     """Every titled record with its category and drop reason (NULL = kept). No exchange."""
-    events = with_identity(with_text(normalize(raw, config.run_ts)))
+    events = with_identity(with_text(normalize(raw, config.run_ts), config.fold_stroke))
     return apply_filters(classify(events, config.rules, config.streams), config)
 
 
@@ -33,7 +33,7 @@ def keep_and_dedup(judged: DataFrame, config: RunConfig) -> DataFrame:
     kept = judged.where(F.col("drop_reason").isNull()).select("seq", "dedup_key", *EVENT_COLUMNS)
     merged = within_run_dedup(kept, config.rules.get("source_trust", {}))
     key = merged.select("dedup_key", "seq", "n_copies", *EVENT_COLUMNS)
-    return with_content_hash(with_identity_of(with_text(key)))
+    return with_content_hash(with_identity_of(with_text(key, config.fold_stroke)))
 
 
 def with_identity_of(events: DataFrame) -> DataFrame:

@@ -71,10 +71,19 @@ def serving(registry: DataFrame, selected) -> DataFrame:
 
 
 def select_sources(raw: DataFrame, registry: DataFrame, selected) -> DataFrame:
-    """Records of serving sources only. The registry is not hinted: the planner broadcasts
-    it when its measured size allows."""
+    """Records of serving sources only."""
     ids = serving(registry, selected).select(F.col("source_id").alias("source"))
-    return raw.join(ids, "source", "left_semi")
+    return raw.join(_small(ids), "source", "left_semi")
+
+
+# Sources up to which a registry goes to every task; records then stay where they are.
+BROADCAST_SOURCES = 100_000
+
+
+def _small(sources: DataFrame) -> DataFrame:
+    """Broadcast a registry whose number of sources, counted first, is small."""
+    few = sources.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+    return F.broadcast(sources) if few else sources
 
 
 def attach_source(raw: DataFrame, registry: DataFrame, selected) -> DataFrame:
@@ -89,11 +98,11 @@ def attach_source(raw: DataFrame, registry: DataFrame, selected) -> DataFrame:
     )
     return (
         raw.drop("source_streams")
-        .join(known, "source", "left")
+        .join(_small(known), "source", "left")
         .withColumns(
             {
                 "source_streams": F.coalesce("_streams", empty),
-                "force_category": F.coalesce("force_category", "_force"),
+                "force_category": F.coalesce(F.nullif("force_category", F.lit("")), "_force"),
             }
         )
         .drop("_streams", "_force")

@@ -55,8 +55,29 @@ def first_per_key(stream: DataFrame, keys: list[str], time: str, horizon: str) -
     return timed.dropDuplicatesWithinWatermark(keys).drop("_event_time")
 
 
+def run_updates(stream: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
+    """Process what has landed and write the rows each batch changed, with its number.
+
+    A batch that is replayed rewrites its own folder. :func:`newest` reads the result.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
+            f"{output}/batch={batch_id}")
+
+    return (
+        stream.writeStream.outputMode("update").foreachBatch(write)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
+def newest(updates: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The last value written per key, open periods included."""
+    return updates.groupBy(*keys).agg(F.max_by(value, "batch_id").alias(value))
+
+
 def drop_counts(stream: DataFrame, time: str, reason: str, period: str, delay: str) -> DataFrame:
-    """Rows per period and drop reason; a period is final once the watermark has passed it."""
+    """Rows per period and drop reason. Appended, a period comes once the watermark has passed it;
+    with :func:`run_updates` each batch gives the counts so far, the running period's too."""
     return (
         event_time(stream.where(F.col(reason).isNotNull()), time, delay)
         .groupBy(F.window("_event_time", period).alias("period"), reason)

@@ -5,6 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from handbill.functions import dates, keys, text
+from handbill.operators import digest
 
 RUN = datetime(2026, 6, 5, 12, 0)
 
@@ -32,7 +33,7 @@ def test_norm_is_decompose_lower_collapse(spark):
 
 def test_exact_norm_takes_ligatures(spark):
     values = [*TEXTS, "ﬁn ½ …"]
-    assert apply(spark, text.norm_exact, values) == [python_norm(t) for t in values]
+    assert apply(spark, text.norm, values) == [python_norm(t) for t in values]
 
 
 def test_city(spark):
@@ -94,3 +95,29 @@ def test_price(spark):
     cases = {"12,5": 12.5, "12.5 zl": 12.5, "12 zł": None, "od 12": None, "1 200": None,
              "1,200.50": None, "12d": None, "": None, "1e2": 100.0, "5.": 5.0, " 7 ": 7.0}
     assert apply(spark, keys.parse_price, list(cases)) == list(cases.values())
+
+
+def test_loose_dates_take_the_year_of_the_run(spark):
+    texts = {
+        "10 czerwca": "2026-06-10 00:00:00", "10.06": "2026-06-10 00:00:00", "10.06.26": "2026-06-10 00:00:00",
+        "2026/06/10": "2026-06-10 00:00:00", "sob. 10.06.2026 19:00": "2026-06-10 19:00:00",
+        "10 June 2026 7:00 PM": "2026-06-10 19:00:00", "10 czerwca 2026 o 19:00": "2026-06-10 19:00:00",
+        "Wed, 10 Jun 2026 19:00:00 +0200": "2026-06-10 19:00:00", "20260610T190000Z": "2026-06-10 21:00:00",
+        "31.02": None, "12:30": None, "soon": None,
+    }
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = frame.select("t", dates.parse_dt(F.col("t"), datetime(2026, 6, 5)).cast("string").alias("d")).collect()
+    assert {r.t: r.d for r in got} == texts
+
+
+def test_letters_that_fold_into_several_and_beyond_the_first_plane(spark):
+    frame = spark.createDataFrame([("\U0001d401old \ufb01n \u2163 \u2460 \u0141\u00f3d\u017a",)], "t string")
+    assert frame.select(text.norm(F.col("t"))).first()[0] == "bold fin iv 1 \u0142odz"
+    assert frame.select(text.norm(F.col("t"), True)).first()[0] == "bold fin iv 1 lodz"
+
+
+def test_prices_beyond_numbers_end_no_job(spark):
+    frame = spark.createDataFrame([("1e30",), ("1e999",), ("12,50 zl",), (None,)], "p string")
+    frame = frame.withColumn("price_min", keys.parse_price(F.col("p"))).withColumn("is_free", F.lit(False))
+    assert [r[0] for r in frame.select(digest.price_label()).collect()] == [
+        "1000000000000000019884624838656 zl+", "?", "12 zl+", "?"]

@@ -17,11 +17,15 @@ def test_rank_all_equals_a_window(spark):
     df = spark.createDataFrame(rows, "g string, s int, seq bigint").repartition(5)
     order = [F.col("s").desc(), F.col("seq").asc()]
     want = df.withColumn("rank", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
-    got = rank_all(df, F.col("g"), "g", order, partitions=7)
+    got = rank_all(df, F.col("g"), "g", order, rows=400)
     key = lambda d: {r.seq: r["rank"] for r in d.collect()}
     assert key(got) == key(want)
-    top = top_per_group(df, "g", order, 4)
+    top = top_per_group(df, F.col("g"), "g", order, 4)
     assert {r.seq for r in top.collect()} == {s for s, n in key(want).items() if n <= 4}
+    large = top_per_group(df, F.col("g"), "g", order, 1500)
+    assert key(large) == {s: n for s, n in key(want).items() if n <= 1500}
+    assert "WindowGroupLimit" not in large._jdf.queryExecution().executedPlan().toString()
+    assert dict(top.dtypes)["rank"] == dict(large.dtypes)["rank"] == "bigint"
     assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
 
 
