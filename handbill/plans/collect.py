@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, functions as F
 
 from handbill.config import RunConfig
 from handbill.operators.admission import budget_admission
+from handbill.operators.rank import rank_all
+from handbill.schema import with_raw_columns
 from handbill.session import shared_path
-from handbill.sources.listings import attach_source, registry_frame, union_sources
-from handbill.sources.parsers import parse_pages
+from handbill.sources.listings import attach_source, registry_frame
+from handbill.sources.parsers import PARSERS, parse_pages, parser_name
 
 # How the source list names a metered fetch, the parser of a source that names
-# none for its fallback, and the error of a source whose page was not landed.
+# none for its fallback, and the errors of a source whose page was not landed or whose parser is unknown.
 METERED = "firecrawl"
 DEFAULT_FALLBACK_PARSER = "page_stub"
 NOT_LANDED = "page_not_landed"
+UNKNOWN_PARSER = "unknown_parser"
 
 
 @dataclass(frozen=True)
@@ -39,6 +42,8 @@ def collect(sources: list[dict], pages: DataFrame, fallback_pages: DataFrame,
 
     ``pages`` and ``fallback_pages`` hold ``page_id``, ``source``, ``url`` and ``html``. A
     source that fails or is refused gives an outcome row and no records; the others go on.
+    ``seq`` numbers the records by source in registry order, first pages before fallback pages, then
+    page and place.
     """
     spark = pages.sparkSession
     serving = [
@@ -84,7 +89,12 @@ def collect(sources: list[dict], pages: DataFrame, fallback_pages: DataFrame,
     metered = F.col("registry_method") == METERED
     took_second = F.col("granted") & ~metered
     found = F.when(took_second, F.col("second_found")).otherwise(F.col("first_found"))
-    error = F.coalesce("error", F.when(found.isNull(), F.lit(NOT_LANDED)))
+    unknown = [s["id"] for s in serving if parser_name(s) not in PARSERS]
+    error = F.coalesce(
+        "error",
+        F.when(F.col("source").isin(unknown) & ~took_second, F.lit(UNKNOWN_PARSER)),
+        F.when(found.isNull(), F.lit(NOT_LANDED)),
+    )
     outcomes = decided.select(
         "source", "method", "granted", took_second.alias("took_second"), error.alias("error"),
         F.when(error.isNull(), found).otherwise(F.lit(0)).alias("found"),
@@ -94,9 +104,13 @@ def collect(sources: list[dict], pages: DataFrame, fallback_pages: DataFrame,
     def of(records: DataFrame, which) -> DataFrame:
         return records.join(outcomes.where(which & F.col("ok")).select("source"), "source", "left_semi")
 
-    records = union_sources(
-        of(first_records, ~F.col("took_second")), of(second_records, F.col("took_second"))
-    )
+    every = of(first_records, ~F.col("took_second")).withColumn("_area", F.lit(0)).unionByName(
+        of(second_records, F.col("took_second")).withColumn("_area", F.lit(1)))
+    order = registry.select(F.col("source_id").alias("source"), F.col("registry_no").alias("_no"))
+    numbered = rank_all(
+        every.join(F.broadcast(order), "source").withColumn("_all", F.lit(0)),  # configured sources
+        F.col("_all"), "_all", [F.col(c).asc() for c in ("_no", "_area", "page_id", "place")], "_rank")
+    records = with_raw_columns(numbered.withColumn("seq", F.col("_rank") - 1))
     return Collected(
         attach_source(records, registry, config.streams),
         outcomes.select("source", "found", "ok", "error", "method", "granted"),

@@ -40,9 +40,10 @@ STATE_SCHEMA = T.StructType([T.StructField(n, t) for n, t in STATE_FIELDS])
 STATE_COLUMNS = [n for n, _ in STATE_FIELDS]
 
 
-def with_raw_columns(df: DataFrame) -> DataFrame:
-    """Give a frame every raw column, NULL where it has none; other columns are ignored."""
+def with_raw_columns(df: DataFrame, *keep: str) -> DataFrame:
+    """Give a frame every raw column, NULL where it has none; of others only ``keep`` stay."""
     have = set(df.columns)
     return df.select(
-        *[(F.col(n) if n in have else F.lit(None)).cast(t).alias(n) for n, t in RAW_FIELDS]
+        *[(F.col(n) if n in have else F.lit(None)).cast(t).alias(n) for n, t in RAW_FIELDS],
+        *keep,
     )

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from handbill.operators.rank import rank_all
 from handbill.schema import RAW_SCHEMA, with_raw_columns
 
 REGISTRY_SCHEMA = (
@@ -20,27 +21,51 @@ REGISTRY_SCHEMA = (
 UNNAMED_SOURCE = "fixture"
 
 
-def read_listings(spark: SparkSession, path: str, layout: str = "array") -> DataFrame:
+def read_listings(spark: SparkSession, path: str, layout: str = "array", arrival: bool = False) -> DataFrame:
     """Raw records of JSON files.
 
     ``array``: each file is a list of records. ``wrapped``: each file is an object whose
     ``events`` holds the list. ``lines``: one record per line, the layout that splits, so the
-    one for large feeds. Records keep their ``seq``; files without one get arrival order
-    from file name and place with :func:`with_arrival_order`.
+    one for large feeds. Records keep their ``seq``; with ``arrival`` all are numbered by file name and
+    place in the file instead. Text that is no JSON gives no record: see :func:`unreadable`.
     """
-    reader = spark.read
-    if layout == "lines":
-        records = reader.schema(RAW_SCHEMA).json(path)
-    elif layout == "array":
-        records = reader.schema(RAW_SCHEMA).option("multiLine", True).json(path)
-    elif layout == "wrapped":
-        wrapped = T.StructType([T.StructField("events", T.ArrayType(RAW_SCHEMA))])
-        records = (
-            reader.schema(wrapped).option("multiLine", True).json(path).select(F.inline("events"))
-        )
-    else:
+    records = _records(spark, path, layout).where(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
+    records = records.withColumn("source", F.coalesce("source", F.lit(UNNAMED_SOURCE)))
+    if not arrival:
+        return records.drop("_file", "_block")
+    placed = records.withColumn("_row", F.monotonically_increasing_id()).withColumn("_all", F.lit(0))
+    order = [F.col(c).asc() for c in ("_file", "_block", "_row")]
+    return with_raw_columns(
+        rank_all(placed, F.col("_all"), "_all", order, "_rank").withColumn("seq", F.col("_rank") - 1))
+
+
+_CORRUPT = "_corrupt_record"
+
+
+def _records(spark: SparkSession, path: str, layout: str) -> DataFrame:
+    """Records with their file, the start of their split, and the text where it is no JSON."""
+    corrupt = T.StructField(_CORRUPT, T.StringType())
+    reader = spark.read.option("multiLine", layout != "lines").option("columnNameOfCorruptRecord", _CORRUPT)
+    where = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
+    names = RAW_SCHEMA.fieldNames()
+    if layout in ("lines", "array"):
+        return reader.schema(T.StructType([*RAW_SCHEMA.fields, corrupt])).json(path).select(
+            *names, _CORRUPT, *where)
+    if layout != "wrapped":
         raise ValueError(f"unknown layout {layout!r}")
-    return records.withColumn("source", F.coalesce("source", F.lit(UNNAMED_SOURCE)))
+    wrapped = T.StructType([T.StructField("events", T.ArrayType(RAW_SCHEMA)), corrupt])
+    files = reader.schema(wrapped).json(path).select("events", _CORRUPT, *where)
+    return files.select(F.inline_outer("events"), _CORRUPT, "_file", "_block")
+
+
+def unreadable(spark: SparkSession, path: str, layout: str = "array") -> DataFrame:
+    """Texts that are no JSON, counted per file: an outcome with an error, next to those of sources."""
+    another = F.coalesce(F.length("title"), F.lit(0)) >= 0  # the reader refuses the bad text alone
+    return (
+        _records(spark, path, layout).where(F.col(_CORRUPT).isNotNull() & another)
+        .groupBy(F.col("_file").alias("source"))
+        .agg(F.count("*").alias("n_records"), F.lit("invalid_json").alias("error"))
+    )
 
 
 def with_arrival_order(records: DataFrame) -> DataFrame:

@@ -162,7 +162,7 @@ def test_every_parser_through_the_registry(spark):
     got = {}
     for r in rows:
         got.setdefault(r.source, []).append((r.title, r.city, r.subcategory, r.needs_extraction))
-    assert len({r.seq for r in rows}) == len(rows) == 8
+    assert len({(r.source, r.page_id, tuple(r.place)) for r in rows}) == len(rows) == 8
     assert sorted(t[0] for t in got["table_rows"]) == ["AI evening & more", "Second"]
     assert sorted(t[0] for t in got["cards"]) == ["Fest", "Show"]
     assert got["jsonld_walk"] == [("A", "Sopot", "meetup", None)]
@@ -204,3 +204,21 @@ def test_budget(spark):
             want[no] = (granted, "budget_exceeded" if wants and not granted and m else None)
         got = budget_admission(df, "run", ["no"], F.col("m"), F.col("e"), F.col("f"), budget)
         assert {r.no: (r.granted, r.error) for r in got.collect()} == want
+
+
+def test_files_in_order_of_name_and_unreadable_lines_counted(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"title": "1"}\nnot json\n{"title": "2"}\n')
+    (tmp_path / "b.json").write_text("".join(json.dumps({"title": str(k), "description": "x" * 300}) + "\n"
+                                             for k in range(3, 60)))
+    rows = listings.read_listings(spark, str(tmp_path), layout="lines", arrival=True)
+    assert [r.title for r in rows.orderBy("seq").collect()] == [str(k) for k in range(1, 60)]
+    bad = listings.unreadable(spark, str(tmp_path), layout="lines").collect()
+    assert [(r.source.rsplit("/", 1)[1], r.n_records, r.error) for r in bad] == [("a.json", 1, "invalid_json")]
+
+
+def test_parser_names_of_existing_lists():
+    from handbill.sources.parsers import parser_name
+
+    assert parser_name({"parser": "python_crossweb"}) == "table_rows"
+    assert parser_name({"method": "firecrawl"}) == "page_stub"
+    assert parser_name({"parser": "no such"}) == "no such"
