@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -91,11 +92,12 @@ def mark_delivered(state: DataFrame, delivered: DataFrame, run_ts: datetime) ->
 
 
 class StateTable:
-    """Snapshots ``run=<id>`` plus a manifest that names the current one.
+    """Snapshots, each in a folder of its own, plus a manifest that names the current one.
 
-    A snapshot counts only once its manifest row is written, so a run that dies half way
-    leaves the previous one in force. A repeated run starts from the newest snapshot of
-    another run and rewrites its own: repeating it changes nothing.
+    A snapshot counts only once its manifest row is written, and no written folder is touched
+    again, so a run that dies at any moment, also when it is repeated, leaves the previous
+    snapshot in force. A repeated run starts from the newest snapshot of another run and writes
+    a new one: repeating it changes nothing.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -104,7 +106,7 @@ class StateTable:
 
     def _manifest(self) -> DataFrame | None:
         try:
-            return self.spark.read.schema("version BIGINT, run_id STRING").json(
+            return self.spark.read.schema("version BIGINT, run_id STRING, folder STRING").json(
                 f"{self.path}/manifest"
             )
         except AnalysisException as error:
@@ -125,14 +127,14 @@ class StateTable:
         newest = self._newest(other_than=for_run)
         if newest is None:
             return self.spark.createDataFrame([], STATE_SCHEMA)
-        return self.spark.read.schema(STATE_SCHEMA).parquet(f"{self.path}/run={newest.run_id}")
+        folder = newest.folder or f"run={newest.run_id}"
+        return self.spark.read.schema(STATE_SCHEMA).parquet(f"{self.path}/{folder}")
 
     def commit(self, snapshot: DataFrame, run_id: str) -> None:
         """Write a snapshot and make it the current one."""
-        snapshot.write.mode("overwrite").parquet(f"{self.path}/run={run_id}")
+        folder = f"run={run_id}/attempt={uuid.uuid4().hex}"
+        snapshot.write.parquet(f"{self.path}/{folder}")
         newest = self._newest()
-        if newest is None or newest.run_id != run_id:
-            version = 1 if newest is None else newest.version + 1
-            self.spark.range(1).select(
-                F.lit(version).cast("bigint").alias("version"), F.lit(run_id).alias("run_id")
-            ).write.mode("append").json(f"{self.path}/manifest")
+        row = (1 if newest is None else newest.version + 1, run_id, folder)
+        self.spark.createDataFrame([row], "version BIGINT, run_id STRING, folder STRING") \
+            .write.mode("append").json(f"{self.path}/manifest")

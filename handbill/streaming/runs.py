@@ -93,8 +93,8 @@ def track_status(stream: DataFrame, latest: Callable[[DataFrame], DataFrame], st
     batches before it, then becomes part of the next one.
 
     ``latest`` turns a batch into one row per key with ``content_hash`` and the state's
-    columns. A batch that is replayed reads the same prior snapshot and rewrites the same
-    output folder and snapshot, so replays change nothing.
+    columns. A batch that is replayed reads the same prior snapshot and gives the same
+    output folder and state, so replays change nothing.
     """
 
     def compare(batch: DataFrame, batch_id: int) -> None:

@@ -101,3 +101,16 @@ def test_upsert_keeps_rows_the_run_did_not_see(spark, make_events):
     assert len(rows) == 2
     assert rows["other|2026-06-10|sopot"].delivered is False
     assert [r.delivered for k, r in rows.items() if not k.startswith("other")] == [True]
+
+
+def test_a_repeat_that_dies_leaves_the_snapshot_in_force(spark, make_events, tmp_path):
+    store = StateTable(spark, str(tmp_path / "state"))
+    store.commit(upsert(store.read(), prepared(make_events, [dict(price_min=5.0)])), "r1")
+    failing = prepared(make_events, [dict(price_min=6.0)]).withColumn(
+        "title", F.when(F.col("price_min") > 0, F.raise_error(F.lit("lost"))).otherwise(F.col("title")))
+    try:
+        store.commit(upsert(store.read(for_run="r1"), failing), "r1")
+        raise AssertionError("the commit should have failed")
+    except Exception as error:
+        assert "lost" in str(error)
+    assert [r.price_min for r in store.read().collect()] == [5.0]
