@@ -45,4 +45,46 @@ SELECT doc_id, size, source_size, target, CAST(
 FROM q
 """
 
-ORACLES = {"op1_exact_dedup": OP1, "op7_mixing": OP7}
+OP2 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents
+), g AS (
+  SELECT doc_id, i, array_to_string(ws[i : i + 19], ' ') AS win
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM d)
+), r AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS nth FROM g) WHERE nth > 1
+), x AS (
+  SELECT DISTINCT doc_id, i + o AS p FROM (SELECT doc_id, i, unnest(range(20)) AS o FROM r)
+), w AS (
+  SELECT doc_id, p, ws[p] AS word FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS p FROM d)
+), k AS (
+  SELECT w.doc_id, count(x.p) AS n_removed,
+    string_agg(word, ' ' ORDER BY w.p) FILTER (WHERE x.p IS NULL) AS kept
+  FROM w LEFT JOIN x ON w.doc_id = x.doc_id AND w.p = x.p GROUP BY 1
+)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
+
+OP9 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+  SELECT u, w FROM l UNION SELECT reach.u, l.w FROM reach JOIN l ON reach.w = l.u
+)
+SELECT vec_id, (SELECT count(*) FROM l WHERE u = vec_id) AS n_links,
+  least(vec_id, coalesce((SELECT min(w) FROM reach WHERE u = vec_id), vec_id)) AS component_id,
+  vec_id <= coalesce((SELECT min(w) FROM reach WHERE u = vec_id), vec_id) AS kept
+FROM embeddings
+"""
+
+ORACLES = {"op1_exact_dedup": OP1, "op2_substring_dedup": OP2, "op7_mixing": OP7,
+           "op9_embedding_near_dedup": OP9}
