@@ -68,6 +68,35 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n
 FROM d LEFT JOIN k ON d.doc_id = k.doc_id
 """
 
+OP6 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS gram
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM d WHERE len(ws) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), p AS (
+  SELECT a.doc_id AS u, b.doc_id AS w, count(*) AS same
+  FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT u, w FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = w
+  WHERE same >= 0.8 * (x.n + y.n - same)
+), reach AS (
+  SELECT u, w FROM l UNION SELECT reach.u, l.w FROM reach JOIN l ON reach.w = l.u
+), c AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN doc_id
+    ELSE min(doc_id) OVER (PARTITION BY array_to_string(ws, ' ')) END AS class_id FROM d
+), k AS (
+  SELECT u, count(*) AS n_links FROM l GROUP BY 1
+), m AS (
+  SELECT u, min(w) AS least_id FROM reach GROUP BY 1
+)
+SELECT c.doc_id, class_id, coalesce(n_links, 0) AS n_links, least(c.doc_id, coalesce(least_id, c.doc_id)) AS component_id,
+  c.doc_id <= coalesce(least_id, c.doc_id) AS kept
+FROM c LEFT JOIN k ON k.u = c.doc_id LEFT JOIN m ON m.u = c.doc_id
+"""
+
 OP9 = """
 WITH RECURSIVE v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
@@ -86,5 +115,5 @@ SELECT vec_id, (SELECT count(*) FROM l WHERE u = vec_id) AS n_links,
 FROM embeddings
 """
 
-ORACLES = {"op1_exact_dedup": OP1, "op2_substring_dedup": OP2, "op7_mixing": OP7,
-           "op9_embedding_near_dedup": OP9}
+ORACLES = {"op1_exact_dedup": OP1, "op2_substring_dedup": OP2, "op6_ngram_jaccard": OP6,
+           "op7_mixing": OP7, "op9_embedding_near_dedup": OP9}
