@@ -14,7 +14,7 @@ from handbill.functions import dates, keys, text
 from handbill.operators import admission, classify, dedup, digest, normalize, rank, report, rules
 from handbill.operators import state as states
 from handbill.plans.run import judge, keep_and_dedup, rank_new
-from handbill.schema import STATE_COLUMNS
+from handbill.schema import EVENT_COLUMNS, STATE_COLUMNS
 from handbill.session import shared_path, spread
 from handbill.sources import jsonld, listings as feeds, markup, pages as pages_src, sinks
 from handbill.streaming import runs as streams
@@ -123,7 +123,7 @@ def digest_sink(spark, sf_dir):
 
 @query
 def run_report(spark, sf_dir):
-    judged = judge(raw_listings(spark, sf_dir), RUN)
+    judged = _judged_once(spark, raw_listings(spark, sf_dir))
     deduped = keep_and_dedup(judged, RUN)
     shown = rank.rank_streams(deduped.withColumn("delivery_state", F.lit("new")), CAPPED_RUN)
     row = report.run_report(
@@ -141,6 +141,14 @@ def run_report(spark, sf_dir):
     )
 
 
+def _judged_once(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    """Judged rows, written as a run writes them, for the several reports that read them."""
+    path = shared_path(spark, "judged")
+    judged = judge(raw, RUN).select("seq", "dedup_key", "drop_reason", *EVENT_COLUMNS)
+    judged.write.parquet(path)
+    return spark.read.schema(judged.schema).parquet(path)
+
+
 def _source_rows(judged: DataFrame) -> DataFrame:
     return report.source_outcomes(
         judged.select("source", F.lit(1).alias("n_records"),
@@ -715,7 +723,7 @@ def source_report(spark, sf_dir):
 
 @query
 def funnel(spark, sf_dir):
-    judged = judge(raw_listings(spark, sf_dir), RUN)
+    judged = _judged_once(spark, raw_listings(spark, sf_dir))
     deduped = keep_and_dedup(judged, RUN)
     return report.funnel(judged, deduped, rank.rank_streams(deduped, CAPPED_RUN))
 
@@ -815,7 +823,7 @@ def digest_lines(spark, sf_dir):
 
 @named("digest")
 def digest_text(spark, sf_dir):
-    judged = judge(_registered_raw(spark, sf_dir), RUN)
+    judged = _judged_once(spark, _registered_raw(spark, sf_dir))
     outcomes = _source_rows(judged)
     totals = outcomes.agg(
         F.count_if("ok").alias("sources"), F.count_if(~F.col("ok")).alias("skipped"),
