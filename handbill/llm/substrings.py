@@ -211,7 +211,7 @@ def _remove(window: int, gram: int, with_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = 20, gram: int = 8, part_bytes: int = 16 << 20,
+def remove_repeats(docs: DataFrame, window: int = 20, gram: int = 8, part_bytes: int = 8 << 20,
                    capacity: int = 1 << 18, with_text: bool = False) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 (and kept_text)."""
     docs = only(docs, F.col("doc_id").cast("bigint").alias("doc_id"), "text")
