@@ -71,20 +71,23 @@ def _cell_key(block: int, cell: np.ndarray, dims: int) -> np.ndarray:
 
 
 def _matrix(column, dims: int) -> np.ndarray:
-    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).astype(np.float64).reshape(-1, dims)
 
 
 def _to_cells(block: int, sides: int, budget: float):
     schema = pa.schema([("key", pa.int64()), ("block", pa.int32()), ("cid", pa.int64()),
-                        ("size", pa.int64()), ("vector", pa.list_(pa.float32()))])
+                        ("size", pa.int64()), ("vector", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lengths = np.asarray(batch["vector"].value_lengths())
             for dims in np.unique(lengths):
                 part = batch.filter(pa.array(lengths == dims))
-                z = rotated(_matrix(part["vector"], int(dims)))
+                flat = part["vector"].flatten().to_numpy(zero_copy_only=False).astype(np.float32)
+                flat = flat.reshape(-1, int(dims))
+                part = part.drop_columns(["vector"]).append_column(
+                    "vector", pa.array([x.tobytes() for x in flat], pa.binary()))
+                z = rotated(flat.astype(np.float64))
                 for b, own in enumerate(cut(int(dims), block)):
                     cell, radius = _grid(z, own, sides, budget)
                     width = 3 * radius
@@ -106,7 +109,7 @@ def _join_cell(block: int, sides: int, cosine: float, tile: int = 1024):
     budget = 2 - 2 * cosine
 
     def run(table: pa.Table) -> pa.Table:
-        dims = len(table["vector"][0])
+        dims = len(table["vector"][0].as_buffer()) // 4
         raw = _matrix(table["vector"], dims)
         z, norm = rotated(raw), np.sqrt((raw * raw).sum(1))
         b, key = table["block"][0].as_py(), table["key"][0].as_py()
@@ -117,7 +120,9 @@ def _join_cell(block: int, sides: int, cosine: float, tile: int = 1024):
         shares = [budget * (s.stop - s.start) / dims + 1e-9 for s in slices]
         order = np.argsort(z[:, own.stop - 1], kind="stable")
         zb = z[order, own].astype(np.float32)
-        last, square = z[order, own.stop - 1], (zb * zb).sum(1)
+        last, square, one = z[order, own.stop - 1], (zb * zb).sum(1), np.ones(len(zb), np.float32)
+        # squared distances as one product
+        rows, columns = np.column_stack((-2 * zb, square, one)), np.column_stack((zb, one, square))
         radius = math.sqrt(shares[b])
         left, right = [], []
         for k in range(0, len(order), tile):
@@ -125,14 +130,14 @@ def _join_cell(block: int, sides: int, cosine: float, tile: int = 1024):
             far = int(np.searchsorted(last, last[stop - 1] + radius, "right"))
             for m in range(k, far, tile):
                 end = min(m + tile, far)
-                dist = zb[k: stop] @ zb[m: end].T
-                dist *= -2
-                dist += square[k: stop, None]
-                dist += square[None, m: end]
-                i, j = np.nonzero(dist <= shares[b] + 1e-5)
+                hit = rows[k: stop] @ columns[m: end].T <= shares[b] + 1e-5
+                if m == k:
+                    hit = np.triu(hit, 1)
+                if not hit.any():
+                    continue
+                i, j = np.nonzero(hit)
                 i, j = i + k, j + m
-                ok = i < j
-                i, j = order[i[ok]], order[j[ok]]
+                i, j = order[i], order[j]
                 if lo != hi:
                     ok = blk[i] != blk[j]
                     i, j = i[ok], j[ok]
@@ -156,7 +161,7 @@ def _join_cell(block: int, sides: int, cosine: float, tile: int = 1024):
     return run
 
 
-def near_vectors(vectors: DataFrame, cosine: float = 0.95, block: int = 16, capacity: int = 8192) -> DataFrame:
+def near_vectors(vectors: DataFrame, cosine: float = 0.95, block: int = 16, capacity: int = 16384) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     rows = only(vectors, "vec_id", F.col("embedding").cast("array<float>").alias("vector"))
     sound = (
@@ -165,17 +170,18 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, block: int = 16, capa
                               & (F.abs(x) < float("inf"))), F.lit(False))
         & F.coalesce(F.exists("vector", lambda x: x != 0), F.lit(False))
     )
-    rows = rows.withColumn("sound", sound)
+    rows = rows.withColumn("sound", sound).withColumns({
+        "one": F.when(F.col("sound"), F.xxhash64("vector")), "two": F.when(F.col("sound"), F.xxhash64(F.lit(1), "vector"))})
     classes = saved(
-        rows.where("sound").groupBy("vector").agg(F.count("*").alias("size"))
+        rows.where("sound").groupBy("one", "two").agg(F.count("*").alias("size"), F.first("vector").alias("vector"))
         .withColumn("cid", F.monotonically_increasing_id()), "vector-classes")
-    sides = max(0, min(block, math.ceil(math.log(max(1, classes.count()) / capacity) / math.log(CELLS_PER_SIDE))))
+    sides = max(0, min(block, math.ceil(math.log(max(1, classes.count()) / (2 * capacity)) / math.log(CELLS_PER_SIDE))))
     cells = saved(classes.select("cid", "size", "vector").mapInArrow(
         _to_cells(block, sides, 2 - 2 * cosine),
-        "key bigint, block int, cid bigint, size bigint, vector array<float>"), "vector-cells")
+        "key bigint, block int, cid bigint, size bigint, vector binary"), "vector-cells")
     found = saved(
         split_groups(cells, ["key"], "cid", capacity).groupBy("key", "lo", "hi")
         .applyInArrow(_join_cell(block, sides, cosine), FOUND), "vector-links")
-    placed = rows.join(classes.withColumn("sound", F.lit(True)), ["vector", "sound"], "left")
+    placed = rows.select("vec_id", "one", "two").join(classes.drop("vector"), ["one", "two"], "left")
     return linked(placed.select("vec_id", "cid", "size"), found, "vec_id").select(
         "vec_id", "n_links", "component_id", "kept")
