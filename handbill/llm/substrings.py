@@ -17,8 +17,8 @@ levels deep, so the tree is kept sparse and cut into groups:
    one node ``window`` words deep. All but the first in the corpus, by (doc_id, place), are repeats.
    Neighbouring ones join up to the maximal repeats.
 
-Sequences are compared by 64 bits for the prefix and 32 more for the window. Texts are exchanged once, by
-part; each later pass over them reads the same exchange.
+Windows are compared by their whole 64-bit hash within a part, and by that and the 64 bits of the prefix
+across parts. Texts are exchanged once, by part; each later pass over them reads the same exchange.
 
 Null texts have no words; null ids sort last; rows with one id are told apart by their text, and of rows
 alike in both one comes first; texts shorter than a window are kept whole; an empty table gives an empty
@@ -151,8 +151,7 @@ def _windows(window: int, gram: int, bins: int):
         order = np.argsort(group, kind="stable")
         group, own = group[order], own[order]
         out = by_part(group, bins, [
-            key[order], (prints[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32),
-            part.doc_ids[part.doc[own]], part.at[own]], WINDOWS)
+            key[order], prints[order], part.doc_ids[part.doc[own]], part.at[own]], WINDOWS)
         return pa.Table.from_batches([out]).append_column(
             "part", pa.array([table["part"][0].as_py()] * out.num_rows, pa.int32()))
 
@@ -162,13 +161,12 @@ def _windows(window: int, gram: int, bins: int):
 def _later(table: pa.Table) -> pa.Table:
     """A group's windows that another part holds earlier, by part."""
     keys, part = _split(table, "keys", np.uint64)
-    prints = from_planes(table["prints"], np.uint32)
+    prints = from_planes(table["prints"], np.uint64)
     docs, at = from_planes(table["docs"], np.int64), from_planes(table["at"], np.uint32)
-    leaf = mix(keys ^ mix(prints.astype(np.uint64)))
-    order = np.argsort(leaf)
-    leaf, docs = leaf[order], docs[order]
-    heads = np.flatnonzero(np.append(True, leaf[1:] != leaf[:-1]))
-    first = np.repeat(np.minimum.reduceat(docs, heads), np.diff(np.append(heads, len(leaf))))
+    order = np.lexsort((prints, keys))
+    keys, prints, docs = keys[order], prints[order], docs[order]
+    heads = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (prints[1:] != prints[:-1])))
+    first = np.repeat(np.minimum.reduceat(docs, heads), np.diff(np.append(heads, len(keys))))
     later = order[docs != first]
     later = later[np.argsort(part[later], kind="stable")]
     used, counts = counted(part[later])

@@ -98,6 +98,22 @@ def test_repeats_go_and_their_first_stays(docs, rows, options):
     assert counter(substrings.remove_repeats(docs, with_text=True, **options)) == want
 
 
+def test_different_windows_below_one_prefix_stay(spark):
+    """A phrase all documents share, with different text around it: 300,000 windows, none of them twice."""
+    import pyarrow as pa
+
+    draw = random.Random(12)
+    word = lambda: f"{draw.randrange(1 << 40):x}"
+    some = [word() for _ in range(100_000)]
+    one = substrings.Part(pa.table({"doc_id": [0], "text": [" ".join(some)]}), 8, 8)
+    k = int(one.key.argmin())  # so it is the prefix of each window that holds it
+    phrase = some[int(one.at[k]): int(one.at[k]) + 8]
+    texts = [" ".join([*(word() for _ in range(12)), *phrase, *(word() for _ in range(12))]) for _ in range(23_000)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = substrings.remove_repeats(frame, part_bytes=1 << 20, capacity=1 << 20)
+    assert got.agg(F.count("*"), F.sum("n_words"), F.sum("n_removed")).first()[:] == (23_000, 23_000 * 32, 0)
+
+
 def test_token_files_hold_all_ids_in_order(docs, rows, spark):
     path = tokens.vocabulary("byte_bpe_50k.json")
     got = tokens.write_token_files(docs, path, part_bytes=20_000).read(spark).collect()
