@@ -64,7 +64,8 @@ class RunResult:
 
 
 def run_listings(raw: DataFrame, config: RunConfig, output: str, state: StateTable | None = None,
-                 outcomes: DataFrame | None = None, deliver: bool = True) -> RunResult:
+                 outcomes: DataFrame | None = None, deliver: bool = True,
+                 unreadable: DataFrame | None = None) -> RunResult:
     """A full run with its outputs under ``output`` and its state in ``state``.
 
     Judged rows and deduplicated events are each used several times, so both are written to
@@ -73,7 +74,8 @@ def run_listings(raw: DataFrame, config: RunConfig, output: str, state: StateTab
     prior snapshot is compared first and rewritten after ranking, so "updated" can be told
     and scores are stored; delivery marks go to the events the digest holds, when
     ``deliver`` is set. ``outcomes`` (source, found, ok, error and, for paid
-    fetches, granted) defaults to the records seen.
+    fetches, granted) defaults to the records seen. Files of ``unreadable`` (source, n_records, error: see
+    :func:`handbill.sources.listings.unreadable`) are failed outcomes next to those.
     """
     spark = raw.sparkSession
     checkpoint_dir(spark)
@@ -107,6 +109,9 @@ def run_listings(raw: DataFrame, config: RunConfig, output: str, state: StateTab
         )
     if "granted" not in outcomes.columns:
         outcomes = outcomes.withColumn("granted", F.lit(False))
+    if unreadable is not None:
+        failed = reports.source_outcomes(unreadable).withColumns({"found": F.lit(0), "granted": F.lit(False)})
+        outcomes = outcomes.unionByName(failed, allowMissingColumns=True)
     totals = outcomes.agg(
         F.count_if("ok").alias("sources"), F.count_if(~F.col("ok")).alias("skipped"),
         F.count_if("granted").alias("credits"),

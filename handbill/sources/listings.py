@@ -27,9 +27,11 @@ def read_listings(spark: SparkSession, path: str, layout: str = "array", arrival
     ``array``: each file is a list of records. ``wrapped``: each file is an object whose
     ``events`` holds the list. ``lines``: one record per line, the layout that splits, so the
     one for large feeds. Records keep their ``seq``; with ``arrival`` all are numbered by file name and
-    place in the file instead. Text that is no JSON gives no record: see :func:`unreadable`.
+    place in the file instead. A field that does not fit its type is NULL; text that holds no record
+    gives none: see :func:`unreadable`. In a list with entries that are no records, and in UTF-16, bare
+    numbers in text fields are written anew (1.10 as 1.1).
     """
-    records = _records(spark, path, layout).where(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
+    records = _records(spark, path, layout).where(f"NOT ({_BAD}) AND {_ANOTHER}").drop(_CORRUPT)
     records = records.withColumn("source", F.coalesce("source", F.lit(UNNAMED_SOURCE)))
     if not arrival:
         return records.drop("_file", "_block")
@@ -40,29 +42,66 @@ def read_listings(spark: SparkSession, path: str, layout: str = "array", arrival
 
 
 _CORRUPT = "_corrupt_record"
+# Text that the reader could not fit to the schema holds a record if it is an object of any fields.
+_BAD = (f"{_CORRUPT} IS NOT NULL AND from_json({_CORRUPT}, 'map<string,string>') IS NULL "
+        f"AND coalesce(size(from_json({_CORRUPT}, 'array<map<string,string>>')), 0) < 1")
+# The reader refuses queries of the bad text alone.
+_ANOTHER = "coalesce(length(title), 0) >= 0"
 
 
 def _records(spark: SparkSession, path: str, layout: str) -> DataFrame:
-    """Records with their file, the start of their split, and the text where it is no JSON."""
-    corrupt = T.StructField(_CORRUPT, T.StringType())
-    reader = spark.read.option("multiLine", layout != "lines").option("columnNameOfCorruptRecord", _CORRUPT)
+    """Records with their file, the start of their split, and the text where it does not fit the schema."""
+    schema = T.StructType([*RAW_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
+    bad = {"columnNameOfCorruptRecord": _CORRUPT}
     where = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
-    names = RAW_SCHEMA.fieldNames()
-    if layout in ("lines", "array"):
-        return reader.schema(T.StructType([*RAW_SCHEMA.fields, corrupt])).json(path).select(
-            *names, _CORRUPT, *where)
-    if layout != "wrapped":
+    if layout == "lines":
+        return spark.read.options(**bad).schema(schema).json(path).select(*schema.fieldNames(), *where)
+    text, plain = _decoded(F.col("value")), F.regexp_replace("value", "^\ufeff", "")
+    each = "map<string,string>"
+    if layout == "array":
+        held = F.coalesce(F.from_json(text, "array<string>"), F.array(text))
+        fit = F.coalesce(F.from_json(plain, f"array<{each}>"), F.array(F.from_json(plain, each)))
+    elif layout == "wrapped":
+        held, fit = (F.flatten(F.transform(F.from_json(of, f"array<struct<events:array<{kind}>>>"),
+                                           lambda x: x.events)) for of, kind in ((text, "string"), (plain, each)))
+    else:
         raise ValueError(f"unknown layout {layout!r}")
-    wrapped = T.StructType([T.StructField("events", T.ArrayType(RAW_SCHEMA)), corrupt])
-    files = reader.schema(wrapped).json(path).select("events", _CORRUPT, *where)
-    return files.select(F.inline_outer("events"), _CORRUPT, "_file", "_block")
+    # The reader gives up a file for one entry that is no record and takes no numbers as text from UTF-16, so
+    # such files are read entry by entry.
+    uneven = spark.read.option("wholetext", True).text(path).where(
+        ~F.coalesce(F.forall(fit, lambda x: x.isNotNull()), F.lit(False)))
+    reader = spark.read.option("multiLine", True)
+    if layout == "array":
+        even = reader.schema(RAW_SCHEMA).json(path).select("*", *where)
+    else:
+        wrapped = T.StructType([T.StructField("events", T.ArrayType(RAW_SCHEMA))])
+        even = reader.schema(wrapped).json(path).select(F.inline("events"), *where)
+    # names of some of the files, all of which the driver has listed
+    even = even.join(F.broadcast(uneven.select(where[0])), "_file", "left_anti").withColumn(
+        _CORRUPT, F.lit(None).cast("string"))
+    none = F.array(F.lit(""))  # no list: one text without a record
+    texts = uneven.select(F.explode(F.coalesce(held, none)).alias("_text"), *where)
+    texts = texts.withColumn("_text", F.coalesce("_text", F.lit("")))
+    records = texts.select(F.inline(F.array(F.from_json("_text", schema, bad))), "_text", "_file", "_block")
+    blank = F.when(F.trim("_text") == "", F.lit(""))  # the parser takes blank text for a missing value
+    return even.unionByName(records.withColumn(_CORRUPT, F.coalesce(_CORRUPT, blank)).drop("_text"))
+
+
+def _decoded(value):
+    """Whole text as UTF-8, also where its bytes are UTF-16."""
+    raw = value.cast("binary")
+    head = F.hex(F.substring(raw, 1, 2))
+    return (
+        F.when(head.isin("FEFF", "FFFE"), F.decode(raw, "UTF-16"))
+        .when(head.like("00__"), F.decode(raw, "UTF-16BE")).when(head.like("__00"), F.decode(raw, "UTF-16LE"))
+        .otherwise(F.regexp_replace(value, "^\ufeff", ""))
+    )
 
 
 def unreadable(spark: SparkSession, path: str, layout: str = "array") -> DataFrame:
-    """Texts that are no JSON, counted per file: an outcome with an error, next to those of sources."""
-    another = F.coalesce(F.length("title"), F.lit(0)) >= 0  # the reader refuses the bad text alone
+    """Texts that hold no record, counted per file: an outcome with an error, next to those of sources."""
     return (
-        _records(spark, path, layout).where(F.col(_CORRUPT).isNotNull() & another)
+        _records(spark, path, layout).where(f"{_BAD} AND {_ANOTHER}")
         .groupBy(F.col("_file").alias("source"))
         .agg(F.count("*").alias("n_records"), F.lit("invalid_json").alias("error"))
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import NOW
 from handbill import RunConfig, run_listings
 from handbill.operators.state import StateTable
-from handbill.sources.listings import read_listings
+from handbill.sources.listings import read_listings, unreadable
 from handbill.streaming import runs as streams
 
 RECORDS = [
@@ -77,6 +77,18 @@ def test_runs_over_time(spark, tmp_path):
         ("Kapela - koncert", "updated")]
 
 
+def test_unreadable_texts_are_failed_outcomes_of_a_run(spark, tmp_path):
+    raw = landed(spark, tmp_path / "in", RECORDS)
+    (tmp_path / "in" / "other.json").write_text("not json\n{\n")
+    run_listings(raw, RunConfig(NOW, run_id="1"), str(tmp_path / "out"),
+                 unreadable=unreadable(spark, str(tmp_path / "in"), "lines"))
+    report = json.loads(spark.read.text(str(tmp_path / "out" / "report")).first()[0])
+    failed = [x for x in report["sources"] if not x["ok"]]
+    assert [(x["source"].rsplit("/", 1)[1], x["found"], x["error"]) for x in failed] == [
+        ("other.json", 0, "invalid_json")]
+    assert (report["status"], report["events_found"]) == (1, 8)
+
+
 def test_collect_falls_back_under_a_budget(spark, tmp_path):
     from handbill.config import default_rules
     from handbill.plans.collect import collect

@@ -1,6 +1,7 @@
 import json
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from handbill.operators.admission import budget_admission
@@ -216,6 +217,33 @@ def test_files_in_order_of_name_and_unreadable_lines_counted(spark, tmp_path):
     assert [(r.source.rsplit("/", 1)[1], r.n_records, r.error) for r in bad] == [("a.json", 1, "invalid_json")]
 
 
+@pytest.mark.parametrize("layout", ["lines", "array", "wrapped"])
+def test_a_bad_field_costs_its_value_only(spark, tmp_path, layout):
+    good = ['{"title": "one", "seq": 1, "price_min": 1.10}', '{"title": "two", "is_free": "yes", "city": "G"}',
+            '{"seq": "7"}', '{"title": "three", "source_streams": "x", "needs_extraction": 1}', "{}"]
+    bad = ["5", "null", '{"title": "cut", "seq":'] if layout == "lines" else ["5", "null", "[1]"]
+    folder = tmp_path / layout
+    folder.mkdir()
+    for name, texts in (("a", good), ("b", good[:1] + bad + good[1:])):
+        text = "\n".join(texts) if layout == "lines" else f"[{','.join(texts)}]"
+        (folder / f"{name}.json").write_text(f'{{"events": {text}}}' if layout == "wrapped" else text)
+    (folder / "c.json").write_text("not json")
+    if layout != "lines":
+        (folder / "d.json").write_text((folder / "a.json").read_text()[:-4])
+        (folder / "e.json").write_bytes(f"\ufeff{(folder / 'a.json').read_text()}".encode())
+        (folder / "f.json").write_bytes((folder / "a.json").read_text().encode("utf-16"))
+    rows = listings.read_listings(spark, str(folder), layout, arrival=True)
+    times = 2 if layout == "lines" else 4
+    want = [("one", None, None, 1.1), ("two", None, "G", None), (None,) * 4, ("three", None, None, None), (None,) * 4]
+    got = rows.orderBy("seq").collect()
+    assert [(r.title, r.is_free, r.city, r.price_min and float(r.price_min)) for r in got] == want * times
+    assert got[0].price_min == got[-10].price_min == "1.10"
+    read = listings.read_listings(spark, str(folder), layout)
+    assert read.count() == read.select("is_free").count() == len(want) * times
+    lost = {r.source.rsplit("/", 1)[1]: r.n_records for r in listings.unreadable(spark, str(folder), layout).collect()}
+    assert lost == {"b.json": 3, "c.json": 1} | ({} if layout == "lines" else {"d.json": 1})
+
+
 def test_parser_names_of_existing_lists():
     from handbill.sources.parsers import parser_name
 
