@@ -4,7 +4,7 @@ Words that are plain runs of letters are taken as they are, without punctuation
 digits or signs inside, with a sign that stands for a letter at an end, or with a letter three times
 running, and runs of single characters (spaced-out words), are decoded: each character gives a column of
 a lattice (itself if a letter, the letters it may stand for, nothing at all), and Viterbi finds the
-cheapest path under a character trigram model counted over all texts. In a spaced-out run a gap may stay a
+cheapest path through the whole word or run under a character trigram model counted over all texts. In a spaced-out run a gap may stay a
 word boundary. Restored words are compared with each letter run folded to one.
 
 A document's features are its restored words and their first four and five bytes. From a bounded sample
@@ -36,7 +36,6 @@ LEET = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "&": "a",
 }
 OTHER, SIZE = 27, 28
-LONGEST = 48
 _CODE = np.zeros(256, np.int64)
 _CODE[97:123] = np.arange(1, 27)
 _CODE[128:] = OTHER
@@ -72,43 +71,47 @@ def character_model(texts: DataFrame) -> np.ndarray:
 
 
 def decode(token: str, cost: np.ndarray, spaced: bool = False) -> list[str]:
-    """The words that a token most cheaply stands for.
+    """The words that a token most cheaply stands for, over its whole length.
 
     ``spaced``: characters came one by one, so each may begin a new word.
     """
-    out: list[str] = []
-    for k in range(0, len(token), LONGEST):
-        out += _viterbi(token[k: k + LONGEST], cost, spaced)
-    return out
-
-
-def _viterbi(token: str, cost: np.ndarray, spaced: bool) -> list[str]:
-    # a state is the last two characters of the output and the last one of the input
-    paths = {(0, 0): (0.0, "")}
+    # a state is the last two characters of the output and the last one of the input; what it said is a
+    # chain of (before, characters), so states share what they have in common
+    paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     last = ""
     for place, c in enumerate(token):
         letter = c.isalpha()
         choices = [(c, 0.0)] if letter else [(x, 0.7) for x in LEET.get(c, "")]
-        new: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (sofar, text) in paths.items():
-            starts = [(a, b, sofar, text)]
+        new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (sofar, said) in paths.items():
+            starts = [(a, b, sofar, "")]
             if spaced and place and b:
-                starts.append((b, 0, sofar + cost[a, b, 0] + 1.5, text + " "))
-            for u, v, before, said in starts:
+                starts.append((b, 0, sofar + cost[a, b, 0] + 1.5, " "))
+            for u, v, before, gap in starts:
                 for x, channel in choices:
                     n = ord(x) - 96 if "a" <= x <= "z" else OTHER
                     at = before + channel + cost[u, v, n]
                     if (v, n) not in new or at < new[v, n][0]:
-                        new[v, n] = (at, said + x)
+                        new[v, n] = (at, (said, gap + x))
             # nothing: a repetition, or a sign between letters
             skip = 1.0 if letter and c == last else 6.0 if c.isdigit() else 1.2
             if not letter or c == last:
                 at = sofar + skip
                 if (a, b) not in new or at < new[a, b][0]:
-                    new[a, b] = (at, text)
+                    new[a, b] = (at, said)
         paths, last = new, c
-    best = min((sofar + cost[a, b, 0], text) for (a, b), (sofar, text) in paths.items())
-    return [w for w in best[1].split(" ") if w]
+    ends = [(sofar + cost[a, b, 0], said) for (a, b), (sofar, said) in paths.items()]
+    least = min(at for at, _ in ends)
+    best = min(_said(said) for at, said in ends if at == least)
+    return [w for w in best.split(" ") if w]
+
+
+def _said(chain: tuple | None) -> str:
+    out = []
+    while chain is not None:
+        chain, x = chain
+        out.append(x)
+    return "".join(reversed(out))
 
 
 _FOLD = re.compile(r"(.)\1+", re.S)

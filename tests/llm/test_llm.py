@@ -373,6 +373,24 @@ def test_language_model_by_plain_counts(docs, rows):
                    round(r.base_score, 6), round(r.score, 6)) for r in got) == want
 
 
+def test_toxic_words_are_found_at_any_place_of_a_long_run(spark):
+    """Sentences written letter by letter, and long dotted tokens, with the word at each place in turn."""
+    draw = random.Random(9)
+    plain = ["river", "table", "stone", "garden", "window", "letter", "summer", "paper", "morning", "idea"]
+    data = [(k, " ".join(draw.choice(plain) for _ in range(20)) + (" snerdle" if k % 5 == 0 else "")) for k in range(300)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    cost = toxicity.character_model(docs)
+    reader = toxicity.Reader(cost)
+    for n, m in ((7, 0), (3, 5), (4, 4), (0, 9), (1, 8), (2, 7)):  # after 42 to 47 letters
+        letters = "garden" * n + "table" * m + "snerdle" + "garden" * 9
+        assert "snerdle" in toxicity.decode(letters, cost, spaced=True)
+        assert toxicity.decode(".".join(letters), cost) == [letters]
+        text = np.frombuffer(" ".join(letters).encode(), np.uint8)
+        buffer, a, b, _ = reader.words(text, np.array([0, len(text)]))
+        assert b"snerdle" in [buffer[i:j].tobytes() for i, j in zip(a, b)]
+    assert "".join(toxicity.decode("table" * 4_000, cost, spaced=True)) == "table" * 4_000
+
+
 def test_empty_tables(spark, none):
     path = tokens.vocabulary("word_bpe_49k.json")
     flags = spark.createDataFrame([], "doc_id bigint, toxic int")
