@@ -115,5 +115,101 @@ SELECT vec_id, (SELECT count(*) FROM l WHERE u = vec_id) AS n_links,
 FROM embeddings
 """
 
+OP11 = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+  FROM documents
+), c AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n,
+    CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS a, CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+      OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 THEN 'plain'
+      WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM t
+), p AS (
+  SELECT *, array_to_string(u[1 : least(a, b)], '') AS pre,
+    array_to_string(u[least(a, b) + 1 : greatest(a, b)], '') AS mid, array_to_string(u[greatest(a, b) + 1 :], '') AS suf
+  FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
+
+OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), q AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS size, array_to_string(ws[i : i + least(len(ws), 10) - 1], ' ') AS win
+  FROM (SELECT item_id, ws, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS i FROM b WHERE len(ws) > 0)
+), g AS (
+  SELECT rid, size, i, array_to_string(ws[i : i + size - 1], ' ') AS win
+  FROM (SELECT rid, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM d, (SELECT DISTINCT size FROM q))
+), m AS (
+  SELECT rid, i, g.size, item_id FROM g JOIN q USING (size, win)
+), h AS (
+  SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + size)) AS p FROM m) GROUP BY 1
+), n AS (
+  SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY 1
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN h ON h.rid = d.rid LEFT JOIN n ON n.rid = d.rid
+"""
+
+OP13 = r"""
+WITH RECURSIVE bits(i, k, c) AS (
+  SELECT CAST(range AS BIGINT), 0, CAST(range AS BIGINT) FROM range(256)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY i) AS tab FROM bits WHERE k = 8
+), d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws FROM documents
+), f AS (
+  SELECT rid, unnest(ws) AS word FROM d
+), t AS (
+  SELECT unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark
+), w AS (
+  SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM f UNION SELECT word FROM t)
+), b AS (
+  SELECT word, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(0, len(h) // 2), lambda j: CAST('0x' || h[2 * j + 1 : 2 * j + 2] AS BIGINT))),
+    lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1]))) % 10000 AS bucket FROM w, crc
+), s AS (
+  SELECT bucket, count(*) AS s FROM f JOIN b USING (word) GROUP BY 1
+), u AS (
+  SELECT bucket, count(*) AS t FROM t JOIN b USING (word) GROUP BY 1
+), g AS (
+  SELECT bucket, CAST(floor(1000 * ln((CAST(coalesce(t, 0) AS DOUBLE) + 1) * (CAST((SELECT count(*) FROM f) AS DOUBLE) + 10000)
+    / ((CAST(coalesce(s, 0) AS DOUBLE) + 1) * (CAST((SELECT count(*) FROM t) AS DOUBLE) + 10000)))) AS BIGINT) AS gain
+  FROM s FULL JOIN u USING (bucket)
+), m AS (
+  SELECT rid, count(*) AS n, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight
+  FROM f JOIN b USING (word) JOIN g USING (bucket) GROUP BY 1
+), x AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+    (CAST('0x' || sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:8] AS BIGINT) + 0.5e0) / 4294967296))) AS BIGINT) AS score
+  FROM d LEFT JOIN m ON m.rid = d.rid
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * able // 100 THEN place END AS rank
+FROM (SELECT *, count(*) FILTER (WHERE n_features >= 20) OVER () AS able,
+  row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, weight, n_features) AS place FROM x)
+"""
+
 ORACLES = {"op1_exact_dedup": OP1, "op2_substring_dedup": OP2, "op6_ngram_jaccard": OP6,
-           "op7_mixing": OP7, "op9_embedding_near_dedup": OP9}
+           "op7_mixing": OP7, "op9_embedding_near_dedup": OP9,
+           "op11_fill_in_middle": OP11, "op12_decontamination": OP12,
+           "op13_importance_resampling": OP13}
