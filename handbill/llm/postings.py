@@ -111,8 +111,9 @@ def phrases(index: DataFrame, want: Sought, window: int) -> DataFrame:
         .distinct().join(want.places, ["text_no", "off"])
         .withColumn("pos", F.col("begin") + F.col("off"))
     )
-    held = index.join(left.select("rid").distinct(), "rid", "left_semi").join(
-        want.places.select("word").distinct(), "word", "left_semi")
+    # words first, then documents as a table whose size the planner knows: no exchange of all postings
+    begun_in = saved(left.select("rid").distinct(), "phrases-documents")
+    held = index.join(want.places.select("word").distinct(), "word", "left_semi").join(begun_in, "rid", "left_semi")
     same = probes.join(held.select("word", "rid", "pos"), ["word", "rid", "pos"], "left_semi")
     line = Window.partitionBy("text_no", "rid", "begin").orderBy("off")
     return (
