@@ -596,11 +596,31 @@ ORACLES["source_drop_matrix"] = f"""WITH {judged()}
 SELECT source, count(*) AS found, count(*) FILTER (WHERE drop_reason IS NULL) AS kept,
   {", ".join(f"count(*) FILTER (WHERE drop_reason = '{r}') AS {r.replace(':', '_')}" for r in _REASONS)}
 FROM j GROUP BY source"""
+ORACLES["fuzzy_dedup"] = f"""
+WITH RECURSIVE e AS (
+  SELECT doc_id AS seq, source, lang, split_part(text, chr(10), 1) AS title,
+    CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'u' || doc_id END AS source_url, {trust("source")} AS trust,
+    list_distinct(regexp_extract_all({norm("split_part(text, chr(10), 1)")}, '[\\p{{L}}\\p{{N}}]+')) AS ws FROM documents
+), w AS (SELECT seq, lang, len(ws) AS n, unnest(ws) AS word FROM e),
+p AS (SELECT a.seq AS u, b.seq AS v, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS same
+      FROM w a JOIN w b ON a.lang = b.lang AND a.word = b.word GROUP BY 1, 2),
+l AS (SELECT u, v FROM p WHERE same >= 0.8 * (n + m - same)),
+reach AS (SELECT u, v FROM l UNION SELECT reach.u, l.v FROM reach JOIN l ON reach.v = l.u),
+g AS (SELECT e.*, coalesce((SELECT min(v) FROM reach WHERE u = seq), seq) AS root FROM e),
+o AS (SELECT *, row_number() OVER (PARTITION BY root ORDER BY trust DESC, seq) AS place FROM g)
+SELECT min(seq) FILTER (WHERE place = 1) AS seq, count(*) AS n_copies,
+  coalesce(arg_min(source, place) FILTER (WHERE source <> ''), arg_min(source, place)) AS source,
+  coalesce(arg_min(title, place) FILTER (WHERE title <> ''), arg_min(title, place)) AS title,
+  coalesce(arg_min(source_url, place) FILTER (WHERE source_url <> ''), arg_min(source_url, place)) AS source_url
+FROM o GROUP BY root"""
 ORACLES["source_break"] = """
 WITH e AS (SELECT event_type || '|' || user_id AS source, CAST(least((day(ts) - 1) // 10, 2) AS INT) AS run FROM events),
-c AS (SELECT run, source, count(*) AS found FROM e GROUP BY 1, 2),
-h AS (SELECT source, min(found) AS least_found, count(*) AS runs FROM c WHERE run < 2 GROUP BY 1)
-SELECT * FROM h WHERE least_found >= 1 AND source NOT IN (SELECT source FROM c WHERE run = 2)"""
+r AS (SELECT DISTINCT run FROM e WHERE run < 2),
+s AS (SELECT DISTINCT source FROM e WHERE run < 2),
+every AS (SELECT s.source, r.run, (SELECT count(*) FROM e WHERE e.source = s.source AND e.run = r.run) AS found FROM s, r)
+SELECT source, min(found) AS least_found, count(*) AS runs FROM every
+WHERE source NOT IN (SELECT source FROM e WHERE run = 2) AND (SELECT count(*) FROM e WHERE run = 2) > 0
+GROUP BY source HAVING min(found) >= 1"""
 ORACLES["source_report"] = f"""WITH l AS ({duck_listing()}), reg AS ({duck_registry()})
 SELECT source_id, enabled, count(seq) AS found,
   count(*) FILTER (WHERE length(description) < 1000) AS stubs

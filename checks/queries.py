@@ -11,11 +11,11 @@ from checks.views import (
 )
 from handbill.config import STREAMS
 from handbill.functions import dates, keys, text
-from handbill.operators import admission, classify, dedup, digest, normalize, rank, report, rules
+from handbill.operators import admission, classify, dedup, digest, normalize, rank, report, rules, similar
 from handbill.operators import state as states
 from handbill.plans.run import judge, keep_and_dedup, rank_new
 from handbill.schema import EVENT_COLUMNS, STATE_COLUMNS
-from handbill.session import shared_path, spread
+from handbill.session import saved, shared_path, spread
 from handbill.sources import jsonld, listings as feeds, markup, pages as pages_src, sinks
 from handbill.streaming import runs as streams
 
@@ -629,6 +629,20 @@ def lineitem_dedup(spark, sf_dir):
     )
 
 
+@query
+def fuzzy_dedup(spark, sf_dir):
+    """First lines as titles, all on no day, a language as the place: blocks hold a quarter of the rows each."""
+    titled = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("seq"), "source", F.substring_index("text", "\n", 1).alias("title"),
+        F.lit(None).cast("timestamp_ntz").alias("start_datetime"), F.col("lang").alias("city_norm"),
+        F.lit("").alias("venue_norm"),
+        F.when(F.col("doc_id") % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("u"), "doc_id")).alias("source_url"),
+        F.lit(1).alias("n_copies"), F.col("doc_id").cast("string").alias("dedup_key"))
+    events = saved(titled.withColumn("title_norm", text.norm(F.col("title"))), "fuzzy-events")
+    found = similar.similar_title_dedup(events, TEST_RULES["source_trust"], ["source", "title", "source_url"])
+    return found.drop("dedup_key")
+
+
 def _two_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Current events, and a prior snapshot of those whose survivor has a label: delivered
     when its quality is 1, with another price when it is marked toxic."""

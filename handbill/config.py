@@ -128,6 +128,7 @@ class RunConfig:
 
     ``window_days`` and ``max_per_stream`` override the rules when they are not ``None``
     (0 is a value). ``max_per_stream <= 0`` means no cap. ``fold_stroke`` folds the stroked l.
+    ``similar_titles`` (such as 0.8) also collapses events of one day and place whose titles are that similar.
     """
 
     run_ts: datetime
@@ -139,6 +140,7 @@ class RunConfig:
     inclusive_last_day: bool = False
     run_id: str | None = None
     fold_stroke: bool = False
+    similar_titles: float | None = None
 
     @property
     def fetch_budget(self) -> int:

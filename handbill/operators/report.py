@@ -32,14 +32,18 @@ def source_drop_matrix(judged: DataFrame, reasons=DROP_REASONS) -> DataFrame:
 
 
 def broken_sources(history: DataFrame, current: DataFrame, least: int = 1) -> DataFrame:
-    """Sources that gave at least ``least`` records in every earlier run and none in this one.
+    """Sources that gave at least ``least`` records in every earlier run and none in this one, while others did.
 
-    ``history`` holds (run, source, found), ``current`` (source, found). A source that was asked and
-    gave nothing and one that is missing are both broken; one new to the runs is not.
+    ``history`` holds (run, source, found), ``current`` (source, found). A run in which a source has no row
+    gave it nothing; a run of which no source has a row is not known. A source that was asked and gave
+    nothing and one that is missing from ``current`` are both broken; one new to the runs is not. If no source
+    gave anything this time, the run failed as a whole and none is flagged.
     """
-    usual = history.groupBy("source").agg(F.min("found").alias("least_found"), F.count("*").alias("runs"))
-    now = current.where(F.col("found") > 0).select("source")
-    return usual.where(F.col("least_found") >= least).join(now, "source", "left_anti")
+    runs = history.agg(F.count_distinct("run")).scalar()
+    found = history.groupBy("run", "source").agg(F.sum("found").alias("found")).where(F.col("found") >= least)
+    usual = found.groupBy("source").agg(F.min("found").alias("least_found"), F.count("*").alias("runs"))
+    now = current.groupBy("source").agg(F.sum("found").alias("found")).where(F.col("found") > 0).select("source")
+    return usual.where((F.col("runs") == runs) & now.exists()).join(now, "source", "left_anti")
 
 
 def source_outcomes(attempts: DataFrame) -> DataFrame:

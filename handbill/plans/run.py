@@ -14,11 +14,12 @@ from handbill.operators.digest import digest, event_lines
 from handbill.operators.normalize import normalize, with_identity, with_text
 from handbill.operators.rank import rank_streams
 from handbill.operators.rules import apply_filters
+from handbill.operators.similar import similar_title_dedup
 from handbill.operators.state import (
     StateTable, delivery_status, mark_delivered, suppress_unchanged, upsert, with_content_hash,
 )
 from handbill.schema import EVENT_COLUMNS
-from handbill.session import checkpoint_dir, shared_path
+from handbill.session import checkpoint_dir, saved, shared_path
 from handbill.sources.sinks import write_digest, write_digest_sections, write_report
 
 
@@ -33,6 +34,10 @@ def keep_and_dedup(judged: DataFrame, config: RunConfig) -> DataFrame:
     kept = judged.where(F.col("drop_reason").isNull()).select("seq", "dedup_key", *EVENT_COLUMNS)
     merged = within_run_dedup(kept, config.rules.get("source_trust", {}))
     key = merged.select("dedup_key", "seq", "n_copies", *EVENT_COLUMNS)
+    if config.similar_titles:
+        once = saved(key, "run-exact")
+        key = similar_title_dedup(with_text(once, config.fold_stroke), config.rules.get("source_trust", {}),
+                                  EVENT_COLUMNS, config.similar_titles)
     return with_content_hash(with_identity_of(with_text(key, config.fold_stroke)))
 
 

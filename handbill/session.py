@@ -48,3 +48,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written table in the shared folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: computed once, of known size, without lineage."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
