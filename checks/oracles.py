@@ -581,6 +581,8 @@ SELECT dedup_key, arg_min(seq, ord) AS seq, count(*) AS n_copies, arg_min(source
   arg_min(start_datetime, ord) FILTER (WHERE start_datetime IS NOT NULL) AS start_datetime
 FROM o GROUP BY dedup_key"""
 ORACLES["delivery_status"] = f"WITH {_EARLIER} SELECT dedup_key, status AS delivery_state FROM st"
+ORACLES["delivery_status_pruned"] = f"""WITH {_EARLIER}
+SELECT dedup_key, status AS delivery_state FROM st WHERE source <= 'src2'"""
 ORACLES["suppress_unchanged"] = f"""WITH {_EARLIER}
 SELECT dedup_key, seq, status AS delivery_state FROM st WHERE status <> 'unchanged'"""
 ORACLES["state_upsert"] = f"WITH {_UPSERTED} SELECT {_STATE_COLUMNS} FROM u"

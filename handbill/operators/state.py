@@ -1,4 +1,4 @@
-"""What earlier runs saw and delivered, kept as Parquet snapshots by dedup key."""
+"""What earlier runs saw and delivered, kept as Parquet snapshots by dedup key, in buckets."""
 
 from __future__ import annotations
 
@@ -6,12 +6,14 @@ import uuid
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from handbill.functions.keys import content_hash, event_id
 from handbill.schema import STATE_COLUMNS, STATE_SCHEMA
 
 _KEPT_FROM_STATE = ("id", "delivered", "delivered_at")
+_BUCKETED = StructType([*STATE_SCHEMA.fields, StructField("bucket", IntegerType())])
 
 
 def with_content_hash(events: DataFrame) -> DataFrame:
@@ -91,50 +93,115 @@ def mark_delivered(state: DataFrame, delivered: DataFrame, run_ts: datetime) ->
     )
 
 
+def bucket_of(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
 class StateTable:
-    """Snapshots, each in a folder of its own, plus a manifest that names the current one.
+    """Snapshots in key-hash buckets: a listing names a folder for each bucket, a manifest the current listing.
+
+    A merge rewrites only the buckets its keys fall in; the next listing refers to the other buckets where
+    they are. Beside the rows of each bucket lie the sorted hashes of its keys, so a run that
+    only looks up reads the rows of those buckets that hold one of its keys.
 
     A snapshot counts only once its manifest row is written, and no written folder is touched
     again, so a run that dies at any moment, also when it is repeated, leaves the previous
     snapshot in force. A repeated run starts from the newest snapshot of another run and writes
     a new one: repeating it changes nothing.
+
+    ``buckets`` is set by the first snapshot and kept from then on; it bounds the listing, the only thing the
+    driver holds. Choose it so that a bucket fits a task.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    _MANIFEST = "version BIGINT, run_id STRING, folder STRING, buckets INT"
+    _LISTING = "bucket INT, folder STRING"
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.buckets = buckets
+        self._listings: dict[str, dict[int, str]] = {}
 
-    def _manifest(self) -> DataFrame | None:
+    def _newest(self, other_than: str | None):
+        """The newest manifest rows: of all runs, and of all but one."""
+        row = F.struct("version", "run_id", "folder", "buckets")
+        others = F.lit(True) if other_than is None else F.col("run_id") != other_than
         try:
-            return self.spark.read.schema("version BIGINT, run_id STRING, folder STRING").json(
-                f"{self.path}/manifest"
-            )
+            manifest = self.spark.read.schema(self._MANIFEST).json(f"{self.path}/manifest")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return None
+            return None, None
+        return manifest.agg(F.max(row), F.max(F.when(others, row))).first()
 
-    def _newest(self, other_than: str | None = None):
-        manifest = self._manifest()
-        if manifest is None:
-            return None
-        if other_than is not None:
-            manifest = manifest.where(F.col("run_id") != other_than)
-        return manifest.orderBy(F.desc("version")).first()
+    def _start(self, for_run: str | None):
+        """The next version, the number of buckets, and the folder of each bucket a run starts from."""
+        newest, before = self._newest(other_than=for_run)
+        if newest is None:
+            return 1, self.buckets, {}
+        if before is None:
+            return newest.version + 1, newest.buckets, {}
+        if before.folder not in self._listings:  # written once, so it can be kept
+            rows = self.spark.read.schema(self._LISTING).json(f"{self.path}/{before.folder}/listing")
+            self._listings = {before.folder: {r.bucket: r.folder for r in rows.collect()}}
+        return newest.version + 1, before.buckets, self._listings[before.folder]
+
+    def listing(self, for_run: str | None = None) -> tuple[int, dict[int, str]]:
+        """The number of buckets, and the folder of each one that holds rows."""
+        return self._start(for_run)[1:]
+
+    def _rows(self, folders: dict[int, str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], STATE_SCHEMA)
+        return self.spark.read.schema(STATE_SCHEMA).parquet(
+            *(f"{self.path}/{folder}/rows/bucket={bucket}" for bucket, folder in sorted(folders.items())))
 
     def read(self, for_run: str | None = None) -> DataFrame:
         """The current snapshot, or the one a given run has to start from; empty at first."""
-        newest = self._newest(other_than=for_run)
-        if newest is None:
-            return self.spark.createDataFrame([], STATE_SCHEMA)
-        folder = newest.folder or f"run={newest.run_id}"
-        return self.spark.read.schema(STATE_SCHEMA).parquet(f"{self.path}/{folder}")
+        return self._rows(self.listing(for_run)[1])
+
+    def read_for(self, events: DataFrame, for_run: str | None = None) -> DataFrame:
+        """The rows of the buckets that hold a key of ``events``, found in the buckets' key files."""
+        buckets, folders = self.listing(for_run)
+        wanted = events.select(
+            bucket_of(F.col("dedup_key"), buckets).alias("bucket"), F.xxhash64("dedup_key").alias("key_hash"))
+        touched = {r.bucket for r in wanted.select("bucket").distinct().collect()} & set(folders)
+        if not touched:
+            return self._rows({})
+        keys = self.spark.read.schema("key_hash BIGINT").parquet(
+            *(f"{self.path}/{folders[bucket]}/keys/bucket={bucket}" for bucket in sorted(touched)))
+        held = wanted.join(keys, "key_hash", "left_semi").select("bucket").distinct().collect()
+        return self._rows({r.bucket: folders[r.bucket] for r in held})
 
     def commit(self, snapshot: DataFrame, run_id: str) -> None:
-        """Write a snapshot and make it the current one."""
+        """Write a whole snapshot and make it the current one."""
+        version, buckets, _ = self._start(None)
+        self._publish(snapshot, run_id, version, buckets, {})
+
+    def merge(self, events: DataFrame, run_id: str, shown: DataFrame | None = None,
+              run_ts: datetime | None = None) -> None:
+        """Upsert ``events`` and mark the keys of ``shown`` delivered; only the buckets of those keys are rewritten."""
+        version, buckets, folders = self._start(run_id)
+        keys = events.select("dedup_key")
+        if shown is not None:
+            keys = keys.union(shown.select("dedup_key"))
+        touched = {r[0] for r in keys.select(bucket_of(F.col("dedup_key"), buckets)).distinct().collect()}
+        snapshot = upsert(self._rows({b: f for b, f in folders.items() if b in touched}), events)
+        if shown is not None:
+            snapshot = mark_delivered(snapshot, shown, run_ts)
+        self._publish(snapshot, run_id, version, buckets, {b: f for b, f in folders.items() if b not in touched})
+
+    def _publish(self, rows: DataFrame, run_id: str, version: int, buckets: int, untouched: dict[int, str]) -> None:
         folder = f"run={run_id}/attempt={uuid.uuid4().hex}"
-        snapshot.write.parquet(f"{self.path}/{folder}")
-        newest = self._newest()
-        row = (1 if newest is None else newest.version + 1, run_id, folder)
-        self.spark.createDataFrame([row], "version BIGINT, run_id STRING, folder STRING") \
+        # each bucket is in one partition, so in one file; small snapshots are few partitions
+        rows.select(*STATE_COLUMNS).withColumn("bucket", bucket_of(F.col("dedup_key"), buckets)).repartition("bucket") \
+            .write.partitionBy("bucket").parquet(f"{self.path}/{folder}/rows")
+        written = self.spark.read.schema(_BUCKETED).parquet(f"{self.path}/{folder}/rows")
+        held = {int(file.split("/bucket=")[1].split("/")[0]) for file in written.inputFiles()}
+        if held:
+            written.select("bucket", F.xxhash64("dedup_key").alias("key_hash")) \
+                .sortWithinPartitions("bucket", "key_hash").write.partitionBy("bucket").parquet(f"{self.path}/{folder}/keys")
+        listed = [*((b, folder) for b in held), *untouched.items()]
+        self.spark.createDataFrame(listed, self._LISTING).coalesce(1).write.json(f"{self.path}/{folder}/listing")
+        self.spark.createDataFrame([(version, run_id, folder, buckets)], self._MANIFEST).coalesce(1) \
             .write.mode("append").json(f"{self.path}/manifest")

@@ -16,7 +16,7 @@ from handbill.operators.rank import rank_streams
 from handbill.operators.rules import apply_filters
 from handbill.operators.similar import similar_title_dedup
 from handbill.operators.state import (
-    StateTable, delivery_status, mark_delivered, suppress_unchanged, upsert, with_content_hash,
+    StateTable, delivery_status, suppress_unchanged, with_content_hash,
 )
 from handbill.schema import EVENT_COLUMNS
 from handbill.session import checkpoint_dir, saved, shared_path
@@ -76,7 +76,7 @@ def run_listings(raw: DataFrame, config: RunConfig, output: str, state: StateTab
     Judged rows and deduplicated events are each used several times, so both are written to
     the shared folder once, the former by drop reason, so a reader of kept rows or of one
     reason opens only those files. The
-    prior snapshot is compared first and rewritten after ranking, so "updated" can be told
+    prior snapshot is compared first and its buckets are rewritten after ranking, so "updated" can be told
     and scores are stored; delivery marks go to the events the digest holds, when
     ``deliver`` is set. ``outcomes`` (source, found, ok, error and, for paid
     fetches, granted) defaults to the records seen. Files of ``unreadable`` (source, n_records, error: see
@@ -97,7 +97,7 @@ def run_listings(raw: DataFrame, config: RunConfig, output: str, state: StateTab
     )
     events = written(keep_and_dedup(judged, config), "events")
 
-    prior = state.read(for_run=run_id) if state is not None else None
+    prior = state.read_for(events, for_run=run_id) if state is not None else None
     if prior is None:
         compared = events.withColumn("delivery_state", F.lit("new"))
     else:
@@ -136,8 +136,5 @@ def run_listings(raw: DataFrame, config: RunConfig, output: str, state: StateTab
             .withColumn("relevance_score", F.coalesce("_score", "relevance_score"))
             .drop("_score")
         )
-        snapshot = upsert(prior, scored)
-        if deliver:
-            snapshot = mark_delivered(snapshot, ranked, config.run_ts)
-        state.commit(snapshot, run_id)
+        state.merge(scored, run_id, ranked if deliver else None, config.run_ts)
     return RunResult(judged, events, ranked, text, drops, report)

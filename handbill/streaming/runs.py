@@ -8,9 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from handbill.operators.state import (
-    StateTable, delivery_status, mark_delivered, suppress_unchanged, upsert,
-)
+from handbill.operators.state import StateTable, delivery_status, suppress_unchanged
+from handbill.session import saved
 
 
 def landed_stream(spark: SparkSession, path: str, schema, pattern: str | None = None,
@@ -90,7 +89,8 @@ def track_status(stream: DataFrame, latest: Callable[[DataFrame], DataFrame], st
                  output: str, checkpoint: str, run_ts: datetime,
                  run_prefix: str = "batch") -> StreamingQuery:
     """New, updated and unchanged over time: each batch is compared with the snapshot of the
-    batches before it, then becomes part of the next one.
+    batches before it, then becomes part of the next one. A batch reads and rewrites only the buckets of
+    its own keys.
 
     ``latest`` turns a batch into one row per key with ``content_hash`` and the state's
     columns. A batch that is replayed reads the same prior snapshot and gives the same
@@ -100,12 +100,12 @@ def track_status(stream: DataFrame, latest: Callable[[DataFrame], DataFrame], st
     def compare(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         run_id = f"{run_prefix}-{batch_id}"
-        prior = state.read(for_run=run_id)
         target = f"{output}/batch_id={batch_id}"
-        delivery_status(latest(batch), prior).write.mode("overwrite").parquet(target)
+        now = latest(batch)
+        now = saved(now.select(*[F.col(c).cast("string") if t == "void" else F.col(c) for c, t in now.dtypes]), "status-batch")
+        delivery_status(now, state.read_for(now, for_run=run_id)).write.mode("overwrite").parquet(target)
         compared = spark.read.parquet(target)
-        shown = suppress_unchanged(compared).select("dedup_key")
-        state.commit(mark_delivered(upsert(prior, compared), shown, run_ts), run_id)
+        state.merge(compared, run_id, suppress_unchanged(compared), run_ts)
 
     return (
         stream.writeStream.foreachBatch(compare).option("checkpointLocation", checkpoint)
