@@ -699,3 +699,28 @@ p AS (SELECT *, floor(value / 20) AS content,
         lag(floor(value / 20)) OVER (PARTITION BY dedup_key ORDER BY batch_id) AS earlier FROM n)
 SELECT batch_id, dedup_key, event_id, CASE WHEN earlier IS NULL THEN 'new'
   WHEN earlier = content THEN 'unchanged' ELSE 'updated' END AS delivery_state FROM p"""
+
+ORACLES["stream_live_status"] = ORACLES["stream_status"]
+ORACLES["stream_merge"] = """
+WITH RECURSIVE e AS (
+  SELECT CAST(user_id AS VARCHAR) AS dedup_key, event_type AS source, event_id AS seq, ts,
+    CASE event_type WHEN 'click' THEN 0.9 WHEN 'error' THEN 0.2 ELSE 0.5 END AS trust,
+    CASE WHEN event_id % 3 = 0 THEN '' ELSE 't' || event_id END AS title,
+    CASE WHEN event_id % 4 = 0 THEN 0.0e0 WHEN event_id % 4 < 3 THEN value END AS price_min,
+    CASE WHEN event_id % 5 > 0 THEN event_id % 5 = 1 END AS is_free,
+    CASE WHEN event_id % 2 = 0 THEN ts END AS end_datetime FROM events
+), w(k, opened) AS (
+  SELECT dedup_key, min(ts) FROM e GROUP BY 1
+  UNION ALL SELECT w.k, min(e.ts) FROM w JOIN e ON e.dedup_key = w.k AND e.ts >= w.opened + INTERVAL 3 DAYS
+  GROUP BY w.k, w.opened
+), c AS (
+  SELECT e.*, opened, row_number() OVER (PARTITION BY k, opened ORDER BY trust DESC, seq) AS place
+  FROM w JOIN e ON e.dedup_key = w.k AND ts >= opened AND ts < opened + INTERVAL 3 DAYS
+  WHERE opened + INTERVAL 3 DAYS <= (SELECT max(ts) FROM events)
+)
+SELECT dedup_key, opened, arg_min(source, place) AS source, arg_min(seq, place) AS seq, count(*) AS n_copies,
+  coalesce(arg_min(title, place) FILTER (WHERE title <> ''), arg_min(title, place)) AS title,
+  coalesce(arg_min(price_min, place) FILTER (WHERE price_min <> 0), max(price_min) FILTER (WHERE price_min = 0)) AS price_min,
+  bool_or(is_free) AS is_free, arg_min(end_datetime, place) FILTER (WHERE end_datetime IS NOT NULL) AS end_datetime,
+  arg_min(ts, place) AS scraped_at
+FROM c GROUP BY 1, 2"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -17,7 +18,7 @@ from handbill.plans.run import judge, keep_and_dedup, rank_new
 from handbill.schema import EVENT_COLUMNS, STATE_COLUMNS
 from handbill.session import saved, shared_path, spread
 from handbill.sources import jsonld, listings as feeds, markup, pages as pages_src, sinks
-from handbill.streaming import runs as streams
+from handbill.streaming import live, runs as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -988,3 +989,49 @@ def stream_status(spark, sf_dir):
     return spark.read.parquet(f"{path}/out").select(
         F.col("batch_id").cast("int").alias("batch_id"), "dedup_key", "event_id", "delivery_state"
     )
+
+
+def _deliveries(spark: SparkSession, sf_dir: str, path: str):
+    """The landing folder after each of three deliveries of the event table, ten days each."""
+    events = table(spark, sf_dir, "events")
+    decade = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2))
+    for part in range(3):
+        events.where(decade == part).write.mode("append").parquet(f"{path}/landing")
+        yield streams.landed_stream(spark, f"{path}/landing", events.schema)
+
+
+@query
+def stream_live_status(spark, sf_dir):
+    """The same as stream_status, with what was shown kept per key in the state store."""
+    path = shared_path(spark, "stream-live")
+    for landed in _deliveries(spark, sf_dir, path):
+        read = landed.select(
+            F.concat_ws("|", "event_type", "user_id").alias("dedup_key"), "event_id", "ts",
+            F.sha1(F.floor(F.col("value") / 20).cast("string")).alias("content_hash"))
+        with live.keyed_state(spark):
+            running = streams.run_updates(
+                live.live_status(read, ["ts", "event_id"]), f"{path}/out", f"{path}/checkpoint")
+        running.awaitTermination()
+    return spark.read.parquet(f"{path}/out").select(
+        F.col("batch_id").cast("int").alias("batch_id"), "dedup_key", "event_id", "delivery_state")
+
+
+@query
+def stream_merge(spark, sf_dir):
+    """A user's events within three days as copies of one event; types are sources of different trust."""
+    path = shared_path(spark, "stream-merge")
+    for landed in _deliveries(spark, sf_dir, path):
+        read = landed.select(
+            F.col("user_id").cast("string").alias("dedup_key"), F.col("event_type").alias("source"),
+            F.col("event_id").alias("seq"),
+            F.when(F.col("event_id") % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("t"), "event_id")).alias("title"),
+            F.when(F.col("event_id") % 4 == 0, F.lit(0.0)).when(F.col("event_id") % 4 < 3, F.col("value")).alias("price_min"),
+            F.when(F.col("event_id") % 5 > 0, F.col("event_id") % 5 == 1).alias("is_free"),
+            F.when(F.col("event_id") % 2 == 0, F.col("ts")).alias("end_datetime"),
+            F.col("ts").alias("scraped_at"))
+        with live.keyed_state(spark):
+            running = streams.run_available(
+                live.merged_within(read, "scraped_at", timedelta(days=3), {"click": 0.9, "error": 0.2}),
+                f"{path}/out", f"{path}/checkpoint")
+        running.awaitTermination()
+    return spark.read.parquet(f"{path}/out")
