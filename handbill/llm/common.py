@@ -45,6 +45,17 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*names)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root): the smallest node reachable from each node that has an edge.
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import WORD, only, pieces, saved
+from .common import WORD, only, pieces, saved, unused
 
 ROWS = 50_000
 
@@ -112,21 +112,51 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repeats: in
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix, once per copy taken; a copy taken in part has its first words.
 
-    Rows alike in id, source and size get alike. Documents without words are not in a mix.
+    Documents without words are not in a mix. All columns come back, ``text`` and ``n_chars`` as the words taken.
+    Rows alike in id, source and size get what the mix takes of them in any order: such rows are numbered, by
+    salted ranges, only where it does not take alike of all of them.
     """
-    got = mix(docs, **options).groupBy("doc_id", "source", "size").agg(F.max("taken").alias("_taken"))
-    got = got.where("_taken > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_from"), F.col("size").alias("_size"), "_taken")
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
-    rows = docs.withColumn("_words", size).join(got, F.col("doc_id").eqNullSafe(F.col("_id"))
-                                                & F.col("source").eqNullSafe(F.col("_from"))
-                                                & (F.col("_words") == F.col("_size")))
-    rows = rows.withColumn("_turn", F.explode(F.expr("sequence(0L, (_taken - 1) DIV _size)")))
-    rest = F.col("_taken") - F.col("_turn") * F.col("_size")
+    doc_id, source, size, taken, low, high, nth, turn = unused(
+        docs, "_id", "_from", "_size", "_taken", "_low", "_high", "_nth", "_turn")
+    key = Window.partitionBy("doc_id", "source", "size")
+    got = mix(docs, **options).groupBy("doc_id", "source", "size", "taken").agg(F.count("*").alias("n"))
+    got = saved(
+        got.withColumn("high", F.sum("n").over(key.orderBy(F.desc("taken"))))
+        .withColumn("values", F.count("*").over(key))
+        .select(F.col("doc_id").alias(doc_id), F.col("source").alias(source), F.col("size").alias(size),
+                F.col("taken").alias(taken), (F.col("high") - F.col("n")).alias(low), F.col("high").alias(high),
+                "values"), "mix-taken")
+
+    def alike(right: DataFrame):
+        same = zip(("doc_id", "source"), (doc_id, source))
+        words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
+        return [docs[a].eqNullSafe(right[b]) for a, b in same] + [words == right[size]]
+
+    even = got.where((F.col("values") == 1) & (F.col(taken) > 0)).drop("values", low, high)
+    rows = docs.join(even, alike(even))
+    uneven = got.where("values > 1").drop("values")
+    if not uneven.isEmpty():
+        groups = uneven.select(doc_id, source, size).distinct()
+        place, part, one, group = unused(docs, "_place", "_part", "_one", "_group")
+        numbered = saved(docs.join(groups, alike(groups)).withColumn(place, F.monotonically_increasing_id())
+                         .withColumn(group, F.to_json(F.struct(doc_id, source, size)))
+                         .withColumn(part, F.col(place) % 64).withColumn(one, F.lit(1)), "mix-alike")
+        numbered = _running(numbered.withColumnsRenamed({c: f"x{c}" for c in docs.columns}),
+                            [group], part, [place], one, nth).drop("_at", place, part, one, group)
+        numbered = numbered.withColumnsRenamed({doc_id: f"y{doc_id}", source: f"y{source}", size: f"y{size}"})
+        numbered = numbered.join(uneven, [
+            F.col(f"y{doc_id}").eqNullSafe(uneven[doc_id]), F.col(f"y{source}").eqNullSafe(uneven[source]),
+            F.col(f"y{size}") == uneven[size], F.col(nth) >= uneven[low], F.col(nth) < uneven[high]])
+        numbered = numbered.where(F.col(taken) > 0).select(
+            *(F.col(f"`x{c}`").alias(c) for c in docs.columns), doc_id, source, size, taken)
+        rows = rows.union(numbered)
+    rows = rows.withColumn(turn, F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({taken} - 1) DIV {size}"))))
+    rest = F.col(taken) - F.col(turn) * F.col(size)
     cut = F.array_join(F.slice(
         F.regexp_extract_all("text", F.lit(f"({WORD})")), F.lit(1), rest.cast("int")), " ")
-    rows = rows.withColumn("text", F.when(rest >= F.col("_size"), F.col("text")).otherwise(cut))
+    whole = rest >= F.col(size)
+    new = {"text": F.when(whole, F.col("text")).otherwise(cut)}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(rest >= F.col("_size"), F.col("n_chars"))
-                               .otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return rows.select(docs.columns)
+        new["n_chars"] = F.when(whole, F.col("n_chars")).otherwise(
+            F.length(cut).cast(docs.schema["n_chars"].dataType))
+    return rows.select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns))
