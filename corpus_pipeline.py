@@ -11,7 +11,8 @@ as Parquet to the shared folder and read again. All but the last return the colu
 - packing: one row per piece of a document, with its sequence and place.
 
 Rows without doc_id pass the first three stages unless toxic or equal to another text. Empty tables give
-empty results; columns besides those of ``documents`` pass through all but the last stage.
+empty results; columns besides those of ``documents``, whatever their names, pass through all but the last stage.
+Of rows that share an id but not a text, the near copy stays if the other one does.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from handbill.llm import exact, jaccard, mixing, packing, tokens, toxicity
-from handbill.llm.common import saved
+from handbill.llm.common import saved, unused
 from handbill.llm.lm import fold
 
 
@@ -29,18 +30,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    doc_id, sha, own = unused(docs, "_id", "_sha", "_own")
     kept = exact.exact_duplicates(docs).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    rows = docs.withColumn("_own", F.sha2(exact.normalised("text"), 256))
+        F.col("doc_id").alias(doc_id), F.col("text_sha256").alias(sha))
+    rows = docs.withColumn(own, F.sha2(exact.normalised("text"), 256))
     return (
-        rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sha")), "left_semi")
-        .dropDuplicates(["doc_id", "_own"]).drop("_own")
+        rows.join(kept, F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.col(own) == F.col(sha)), "left_semi")
+        .dropDuplicates(["doc_id", own]).drop(own)
     )
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = jaccard.similar_documents(docs).where("kept").select(F.col("doc_id").alias("_id"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    (doc_id,) = unused(docs, "_id")
+    kept = jaccard.similar_documents(docs).where("kept").select(F.col("doc_id").alias(doc_id))
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col(doc_id)), "left_semi")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
