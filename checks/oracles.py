@@ -382,6 +382,8 @@ SELECT seq, source,
     WHEN 1 THEN {_PRICE_TEXT} || ' zl' ELSE {_PRICE_TEXT} END AS price_min,
   is_free, md5(chr(10) || ' ' || description || ' ' || chr(10)) AS description_md5
 FROM l"""
+for _layout in ("read_array", "read_wrapped", "read_array_ranges"):
+    ORACLES[_layout] = ORACLES["read_listings"]
 ORACLES["select_sources"] = f"""WITH l AS ({duck_listing()}), reg AS ({duck_registry()})
 SELECT seq, source FROM l WHERE source IN (
   SELECT source_id FROM reg WHERE enabled AND list_contains(streams, 'culture_family'))"""

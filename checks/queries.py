@@ -54,11 +54,44 @@ def _registered_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_listings(spark, sf_dir):
     path = shared_path(spark, "listings")
     raw_listings(spark, sf_dir).write.json(path)
-    read = feeds.read_listings(spark, path, layout="lines")
+    return _shown_listings(feeds.read_listings(spark, path, layout="lines"))
+
+
+def _shown_listings(read: DataFrame) -> DataFrame:
     return read.select("seq", "source", "title", "url", "source_url", "start", "city",
                        "price_min", "is_free", F.md5("description").alias("description_md5"))
 
 
+def _array_files(spark: SparkSession, sf_dir: str, opening: str, closing: str) -> str:
+    """Files that hold a list of some thousand records each, over several lines."""
+    path = shared_path(spark, "arrays")
+    raw = raw_listings(spark, sf_dir)
+    records = raw.select(F.expr("seq DIV 5000").alias("part"), "seq", F.to_json(F.struct(*raw.columns)).alias("value"))
+    first = records.groupBy("part").agg(F.min("seq").alias("first"))
+    ends = [first.select("part", (F.col("first") - 1).alias("seq"), F.lit(opening).alias("value")),
+            first.select("part", F.lit(2**62).alias("seq"), F.lit(closing).alias("value"))]
+    commas = F.when(F.col("seq") > F.col("first"), F.concat(F.lit(","), F.col("value"))).otherwise(F.col("value"))
+    lines = records.join(first, "part").select("part", "seq", commas.alias("value")).unionByName(ends[0]).unionByName(ends[1])
+    lines.repartition("part").sortWithinPartitions("part", "seq").select("part", "value").write.partitionBy("part").text(path)
+    return f"{path}/*"
+
+
+@query
+def read_array(spark, sf_dir):
+    return _shown_listings(feeds.read_listings(spark, _array_files(spark, sf_dir, "[", "]"), layout="array"))
+
+
+@query
+def read_wrapped(spark, sf_dir):
+    files = _array_files(spark, sf_dir, '{"events": [', "]}")
+    return _shown_listings(feeds.read_listings(spark, files, layout="wrapped"))
+
+
+@query
+def read_array_ranges(spark, sf_dir):
+    return _shown_listings(feeds.read_listings(spark, _array_files(spark, sf_dir, "[", "]"), layout="ranges"))
+
+
 @query
 def select_sources(spark, sf_dir):
     rows = feeds.select_sources(

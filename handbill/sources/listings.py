@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from handbill.operators.rank import rank_all
 from handbill.schema import RAW_SCHEMA, with_raw_columns
+from handbill.sources.ranges import array_texts
 
 REGISTRY_SCHEMA = (
     "source_id STRING, name STRING, streams ARRAY<STRING>, method STRING, fallback STRING, "
@@ -26,7 +27,8 @@ def read_listings(spark: SparkSession, path: str, layout: str = "array", arrival
 
     ``array``: each file is a list of records. ``wrapped``: each file is an object whose
     ``events`` holds the list. ``lines``: one record per line, the layout that splits, so the
-    one for large feeds. Records keep their ``seq``; with ``arrival`` all are numbered by file name and
+    one for large feeds. ``ranges``: as ``array``, for UTF-8 files too large for one task each; see
+    :mod:`handbill.sources.ranges`. Records keep their ``seq``; with ``arrival`` all are numbered by file name and
     place in the file instead. A field that does not fit its type is NULL; text that holds no record
     gives none: see :func:`unreadable`. In a list with entries that are no records, and in UTF-16, bare
     numbers in text fields are written anew (1.10 as 1.1).
@@ -34,9 +36,11 @@ def read_listings(spark: SparkSession, path: str, layout: str = "array", arrival
     records = _records(spark, path, layout).where(f"NOT ({_BAD}) AND {_ANOTHER}").drop(_CORRUPT)
     records = records.withColumn("source", F.coalesce("source", F.lit(UNNAMED_SOURCE)))
     if not arrival:
-        return records.drop("_file", "_block")
-    placed = records.withColumn("_row", F.monotonically_increasing_id()).withColumn("_all", F.lit(0))
-    order = [F.col(c).asc() for c in ("_file", "_block", "_row")]
+        return records.drop("_file", "_block", "_place")
+    if "_place" not in records.columns:
+        records = records.withColumn("_place", F.monotonically_increasing_id())
+    placed = records.withColumn("_all", F.lit(0))
+    order = [F.col(c).asc() for c in ("_file", "_block", "_place")]
     return with_raw_columns(
         rank_all(placed, F.col("_all"), "_all", order, "_rank").withColumn("seq", F.col("_rank") - 1))
 
@@ -56,6 +60,10 @@ def _records(spark: SparkSession, path: str, layout: str) -> DataFrame:
     where = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
     if layout == "lines":
         return spark.read.options(**bad).schema(schema).json(path).select(*schema.fieldNames(), *where)
+    if layout == "ranges":
+        texts = array_texts(spark, path)
+        return texts.select(F.inline(F.array(F.from_json("_text", schema, bad))), "_text", "_file", "_block", "_place") \
+            .withColumn(_CORRUPT, F.coalesce(_CORRUPT, _blank_text())).drop("_text")
     text, plain = _decoded(F.col("value")), F.regexp_replace("value", "^\ufeff", "")
     each = "map<string,string>"
     if layout == "array":
@@ -68,7 +76,7 @@ def _records(spark: SparkSession, path: str, layout: str) -> DataFrame:
         raise ValueError(f"unknown layout {layout!r}")
     # The reader gives up a file for one entry that is no record and takes no numbers as text from UTF-16, so
     # such files are read entry by entry.
-    uneven = spark.read.option("wholetext", True).text(path).where(
+    uneven = spark.read.text(path, wholetext=True).where(
         ~F.coalesce(F.forall(fit, lambda x: x.isNotNull()), F.lit(False)))
     reader = spark.read.option("multiLine", True)
     if layout == "array":
@@ -83,8 +91,12 @@ def _records(spark: SparkSession, path: str, layout: str) -> DataFrame:
     texts = uneven.select(F.explode(F.coalesce(held, none)).alias("_text"), *where)
     texts = texts.withColumn("_text", F.coalesce("_text", F.lit("")))
     records = texts.select(F.inline(F.array(F.from_json("_text", schema, bad))), "_text", "_file", "_block")
-    blank = F.when(F.trim("_text") == "", F.lit(""))  # the parser takes blank text for a missing value
-    return even.unionByName(records.withColumn(_CORRUPT, F.coalesce(_CORRUPT, blank)).drop("_text"))
+    return even.unionByName(records.withColumn(_CORRUPT, F.coalesce(_CORRUPT, _blank_text())).drop("_text"))
+
+
+def _blank_text():
+    """The parser takes blank text for a missing value."""
+    return F.when(F.trim("_text") == "", F.lit(""))
 
 
 def _decoded(value):

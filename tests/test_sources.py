@@ -250,3 +250,12 @@ def test_parser_names_of_existing_lists():
     assert parser_name({"parser": "python_crossweb"}) == "table_rows"
     assert parser_name({"method": "firecrawl"}) == "page_stub"
     assert parser_name({"parser": "no such"}) == "no such"
+
+
+@pytest.mark.parametrize("layout", ["array", "wrapped"])
+def test_lists_over_several_lines(spark, tmp_path, layout):
+    held = [{"source": "s", "title": "a\nb", "price_min": "1.10"}, {"source": "s", "title": "c"}]
+    (tmp_path / "in.json").write_text(json.dumps(held if layout == "array" else {"events": held}, indent=2))
+    got = listings.read_listings(spark, str(tmp_path), layout=layout, arrival=True).orderBy("seq").collect()
+    assert [(r.title, r.price_min) for r in got] == [("a\nb", "1.10"), ("c", None)]
+    assert listings.unreadable(spark, str(tmp_path), layout=layout).count() == 0
