@@ -676,6 +676,16 @@ c AS (SELECT doc_id, unnest(chunks) AS chunk, unnest(range(len(chunks))) AS chun
 SELECT doc_id, CAST(chunk_no AS INT) AS chunk_no, md5(rtrim(chunk, chr(10))) AS chunk_md5,
   length(rtrim(chunk, chr(10))) AS n_chars
 FROM c WHERE NOT is_last OR trim(chunk, ' ' || chr(10) || chr(9) || chr(13)) <> ''"""
+ORACLES["pack_digest"] = f"""WITH RECURSIVE d AS ({ORACLES['digest']}),
+l AS (SELECT line_no, line, sum(length(line) + 1) OVER (ORDER BY line_no) AS stop,
+        sum(length(line) + 1) OVER (ORDER BY line_no) - length(line) - 1 AS pos FROM d),
+n AS (SELECT l.pos, greatest(l.stop, e.stop) AS nxt FROM l ASOF JOIN (SELECT stop FROM l UNION SELECT 0) e ON l.pos + 500 >= e.stop),
+m(message_no, pos, nxt) AS (
+  SELECT CAST(0 AS BIGINT), pos, nxt FROM n WHERE pos = 0
+  UNION ALL SELECT message_no + 1, n.pos, n.nxt FROM m JOIN n ON n.pos = m.nxt),
+t AS (SELECT message_no, rtrim(string_agg(line, chr(10) ORDER BY line_no), chr(10)) AS text
+      FROM m JOIN l ON l.pos >= m.pos AND l.pos < m.nxt GROUP BY 1)
+SELECT message_no, md5(text) AS text_md5, length(text) AS n_chars FROM t"""
 ORACLES["full_run"] = f"""WITH {deduped(True)}{ranked()}
 SELECT category, rank, seq, source, title, start_datetime, city, venue_name, price_min, is_free,
   national_scope, scope_reason, family_suitable, relevance_score, n_copies FROM r"""

@@ -12,7 +12,7 @@ from checks.views import (
 )
 from handbill.config import STREAMS
 from handbill.functions import dates, keys, text
-from handbill.operators import admission, classify, dedup, digest, normalize, rank, report, rules, similar
+from handbill.operators import admission, classify, dedup, digest, messages, normalize, rank, report, rules, similar
 from handbill.operators import state as states
 from handbill.plans.run import judge, keep_and_dedup, rank_new
 from handbill.schema import EVENT_COLUMNS, STATE_COLUMNS
@@ -71,8 +71,10 @@ def _array_files(spark: SparkSession, sf_dir: str, opening: str, closing: str) -
     ends = [first.select("part", (F.col("first") - 1).alias("seq"), F.lit(opening).alias("value")),
             first.select("part", F.lit(2**62).alias("seq"), F.lit(closing).alias("value"))]
     commas = F.when(F.col("seq") > F.col("first"), F.concat(F.lit(","), F.col("value"))).otherwise(F.col("value"))
-    lines = records.join(first, "part").select("part", "seq", commas.alias("value")).unionByName(ends[0]).unionByName(ends[1])
-    lines.repartition("part").sortWithinPartitions("part", "seq").select("part", "value").write.partitionBy("part").text(path)
+    lines = records.join(first, "part").select("part", "seq", commas.alias("value"))
+    lines = lines.unionByName(ends[0]).unionByName(ends[1])
+    placed = lines.repartition("part").sortWithinPartitions("part", "seq")
+    placed.select("part", "value").write.partitionBy("part").text(path)
     return f"{path}/*"
 
 
@@ -911,6 +913,13 @@ def pack_lines(spark, sf_dir):
              F.length("chunk").alias("n_chars"))
 
 
+@query
+def pack_digest(spark, sf_dir):
+    """The messages of the whole digest; blocks of a few messages, so that they also pass from block to block."""
+    packed = messages.pack_digest(digest_text(spark, sf_dir), 500, 20_000)
+    return packed.select("message_no", F.md5("text").alias("text_md5"), F.length("text").alias("n_chars"))
+
+
 @query
 def full_run(spark, sf_dir):
     """From raw records of registered sources to the ranked digest rows."""

@@ -123,7 +123,8 @@ def array_texts(spark: SparkSession, path: str) -> DataFrame:
         .select("_file", "_block", "_place", F.posexplode(
             F.when(F.col("_text").startswith("{"), F.array("_text")).otherwise(F.coalesce(entries, F.array("_text")))
         ).alias("_entry", "_text"))
-        .select("_file", "_block", F.struct("_place", "_entry").alias("_place"), F.coalesce("_text", F.lit("")).alias("_text"))
+        .select("_file", "_block", F.struct("_place", "_entry").alias("_place"),
+                F.coalesce("_text", F.lit("")).alias("_text"))
     )
 
 
