@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.views import CAPPED_RUN, ORDERS_RUN_TS, RUN, TEST_RULES, duck_listing, duck_registry
+from checks.views import CAPPED_RUN, MANY_KEYWORDS, ORDERS_RUN_TS, RUN, TEST_RULES, duck_listing, duck_registry
 from handbill.config import KNOWN_CITIES, STREAMS
 from handbill.functions.dates import POLISH_MONTHS, POLISH_SHORT_MONTHS
 from handbill.operators import digest as texts
@@ -547,6 +547,9 @@ _HIT_COLUMNS = ", ".join(
     f"{hits('class_text', TEST_RULES['classify'][s])} AS hits_{s}" for s in STREAMS
 )
 ORACLES["keyword_hits"] = f"WITH {WITH_TEXT} SELECT seq, {_HIT_COLUMNS} FROM t"
+ORACLES["keyword_hits_large"] = f"""
+SELECT doc_id, len(held) AS hits, held[1] AS first FROM (
+  SELECT doc_id, list_filter({MANY_KEYWORDS}, lambda k: contains(lower(text), k)) AS held FROM documents)"""
 ORACLES["classify"] = f"WITH {classified(True)} SELECT seq, source, category FROM c"
 ORACLES["exclusions"] = f"WITH {WITH_TEXT} SELECT seq, {SPORTS} AS excluded FROM t"
 ORACLES["large_event"] = f"WITH {WITH_TEXT} SELECT seq, {LARGE} AS reason FROM t"

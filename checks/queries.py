@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from checks.views import (
-    CAPPED_RUN, ORDERS_RUN_TS, RUN, RUN_TS, TEST_RULES, listings, raw_listings, registry, table,
+    CAPPED_RUN, MANY_KEYWORDS, ORDERS_RUN_TS, RUN, RUN_TS, TEST_RULES, listings, raw_listings, registry, table,
 )
 from handbill.config import STREAMS
 from handbill.functions import dates, keys, text
@@ -566,6 +566,15 @@ def keyword_hits(spark, sf_dir):
     )
 
 
+@query
+def keyword_hits_large(spark, sf_dir):
+    """Whole texts searched for some thousand keywords."""
+    whole = F.lower("text")
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", text.keyword_hits(whole, MANY_KEYWORDS).alias("hits"),
+        text.first_contained(whole, MANY_KEYWORDS).alias("first"))
+
+
 @named("classify")
 def classify_records(spark, sf_dir):
     raw = normalize.normalize(_registered_raw(spark, sf_dir), RUN_TS)

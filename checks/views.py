@@ -7,6 +7,7 @@ Titles are whole first lines and descriptions are whole texts.
 from __future__ import annotations
 
 from datetime import datetime
+from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -38,6 +39,9 @@ TEST_RULES = {
     "source_trust": {"src0": 0.9, "src1": 0.85, "src2": 0.8, "src3": 0.7, "src4": 0.6},
 }
 
+# A list too long for one expression a word: all three-letter words over a part of the alphabet.
+MANY_KEYWORDS = ["".join(word) for word in product("etaoinsrhldcu", repeat=3)]
+
 RUN = RunConfig(RUN_TS, TEST_RULES)
 CAPPED_RUN = RunConfig(RUN_TS, TEST_RULES, max_per_stream=10)
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import unicodedata
+from collections import Counter
 from functools import lru_cache
 from itertools import chain
 
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
 from handbill.config import HOME_CITIES, KNOWN_CITIES
@@ -88,7 +90,8 @@ def is_home_city(city_norm: Column) -> Column:
     return city_norm.isin(*HOME_CITIES)
 
 
-# Above this many keywords one expression per keyword would outgrow a generated method.
+# Above this many keywords one expression per keyword would outgrow a generated method, and a text would be searched
+# once for each: an automaton then finds all of them in one pass.
 _INLINE_KEYWORDS = 200
 
 
@@ -98,7 +101,7 @@ def keyword_hits(text: Column, keywords) -> Column:
     if not keywords:
         return F.lit(0)
     if len(keywords) > _INLINE_KEYWORDS:
-        return F.size(F.filter(_literal_array(keywords), lambda k: F.contains(text, k)))
+        return F.coalesce(_searched(text, keywords, "hits"), F.lit(0))
     total = F.contains(text, F.lit(keywords[0])).cast("int")
     for word in keywords[1:]:
         total = total + F.contains(text, F.lit(word)).cast("int")
@@ -111,7 +114,7 @@ def contains_any(text: Column, keywords) -> Column:
     if not keywords:
         return F.lit(False)
     if len(keywords) > _INLINE_KEYWORDS:
-        return F.exists(_literal_array(keywords), lambda k: F.contains(text, k))
+        return _searched(text, keywords, "any") > 0
     found = F.contains(text, F.lit(keywords[0]))
     for word in keywords[1:]:
         found = found | F.contains(text, F.lit(word))
@@ -124,10 +127,43 @@ def first_contained(text: Column, keywords) -> Column:
     if not keywords:
         return F.lit(None).cast("string")
     if len(keywords) > _INLINE_KEYWORDS:
-        hits = F.filter(_literal_array(keywords), lambda k: F.contains(text, k))
-        return F.try_element_at(hits, F.lit(1))
+        number = _searched(text, keywords, "first")
+        return F.try_element_at(F.array(*[F.lit(w) for w in keywords]), F.nullif(number, F.lit(0)))
     return F.coalesce(*[F.when(F.contains(text, F.lit(w)), F.lit(w)) for w in keywords])
 
 
-def _literal_array(values) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+@lru_cache(maxsize=8)
+def _automaton(keywords: tuple[str, ...]):
+    """The automaton of distinct keywords, each with its first place (from 1) in the list; kept by the worker."""
+    import ahocorasick
+
+    places: dict[str, int] = {}
+    for place, word in enumerate(keywords, 1):
+        places.setdefault(word, place)
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+    for word, place in places.items():
+        if word:  # the empty text occurs everywhere
+            automaton.add_word(word, place)
+    automaton.make_automaton()
+    return automaton, Counter(keywords), places.get("")
+
+
+def _searched(text: Column, keywords: list[str], kind: str) -> Column:
+    """One pass over each text, in Arrow batches: number of listed keywords it holds, place of the first, or 1 for
+    any (0 for none). NULL for NULL."""
+    held = tuple(keywords)
+
+    def number(value: str | None) -> int | None:
+        if value is None:
+            return None
+        automaton, times, empty = _automaton(held)
+        places = (place for _, place in automaton.iter(value)) if len(automaton) else iter(())
+        if kind == "any":
+            return int(empty is not None or next(places, None) is not None)
+        found = {*places, *([empty] if empty else [])}
+        return sum(times[held[place - 1]] for place in found) if kind == "hits" else min(found, default=0)
+
+    def batch(values: pa.Array) -> pa.Array:
+        return pa.array([number(value.as_py()) for value in values], pa.int32())
+
+    return F.arrow_udf(batch, "int")(text)

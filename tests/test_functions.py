@@ -121,3 +121,27 @@ def test_prices_beyond_numbers_end_no_job(spark):
     frame = frame.withColumn("price_min", keys.parse_price(F.col("p"))).withColumn("is_free", F.lit(False))
     assert [r[0] for r in frame.select(digest.price_label()).collect()] == [
         "1" + "0" * 30 + " zl+", "?", "12 zl+", "?"]
+
+
+def test_long_keyword_lists_find_the_same_in_one_pass(spark, monkeypatch):
+    import random
+
+    of = random.Random(3)
+    words = ["".join(of.choices("abż \U0001F916", k=of.randint(1, 4))) for _ in range(300)]
+    texts = ["".join(of.choices("abcż \U0001F916", k=of.choice([0, 1, 5, 40]))) for _ in range(80)]
+    df = spark.createDataFrame([(n, t) for n, t in enumerate([*texts, None])], "n INT, t STRING")
+    for keywords in (words, [w + "q" for w in words] + [""], [w + "q" for w in words], [""] * 250):
+        got = {r.n: r for r in df.select(
+            "n", text.keyword_hits(F.col("t"), keywords).alias("hits"), text.contains_any(F.col("t"), keywords).alias("any"),
+            text.first_contained(F.col("t"), keywords).alias("first")).collect()}
+        for n, t in enumerate(texts):
+            held = [w for w in keywords if w in t]
+            assert (got[n].hits, got[n].any, got[n].first) == (len(held), bool(held), held[0] if held else None)
+        assert (got[80].hits, got[80].any, got[80].first) == (0, None, None)
+
+
+def test_twenty_thousand_keywords(spark):
+    many = [f"word{n:05d}x" for n in range(20_000)]
+    df = spark.range(2000).select("id", F.concat(F.lit("a word"), F.lpad(F.col("id") * 10, 5, "0"), F.lit("x b")).alias("t"))
+    got = df.agg(F.sum(text.keyword_hits(F.col("t"), many)).alias("n")).first().n
+    assert got == 2000
