@@ -93,11 +93,17 @@ def run_status(failures: Column) -> Column:
     return F.when(failures > 0, F.lit(1)).otherwise(F.lit(0))
 
 
+# Sources and failures that the report's row lists; all of them are the rows of its ``sources`` frame.
+LISTED = 1000
+
+
 def run_report(funnel_row: DataFrame, drops: DataFrame, sources: DataFrame,
                config: RunConfig, credits_used: DataFrame | None = None) -> DataFrame:
     """The run as one row: parameters, totals, drop reasons and source outcomes.
 
-    Nested values are bounded: a handful of reasons and one entry per registered source.
+    Nested values are bounded: a handful of reasons, and the first ``LISTED`` sources and failures in order of name
+    next to the numbers of all. ``send`` tells whether there is a message to send: events, or the rules'
+    ``empty_run_message``.
     """
     reasons = drops.agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("drop_reason", "n")))).alias(
@@ -105,12 +111,13 @@ def run_report(funnel_row: DataFrame, drops: DataFrame, sources: DataFrame,
         )
     )
     outcome = F.struct("source", "found", "ok", "error")
-    per_source = sources.agg(
-        F.array_sort(F.collect_list(outcome)).alias("sources"),
-        F.array_sort(F.collect_list(F.when(~F.col("ok"), F.col("source")))).alias("failures"),
-        run_status(F.count_if(~F.col("ok"))).alias("status"),
-    )
-    parts = [funnel_row, reasons, per_source]
+    first = sources.orderBy("source", "found", "ok", "error").limit(LISTED)
+    failed = sources.where(~F.col("ok")).select("source").orderBy("source").limit(LISTED)
+    parts = [
+        funnel_row, reasons, first.agg(F.array_sort(F.collect_list(outcome)).alias("sources")),
+        failed.agg(F.array_sort(F.collect_list("source")).alias("failures")),
+        sources.agg(F.count("*").alias("n_sources"), F.count_if(~F.col("ok")).alias("n_failures")),
+    ]
     if credits_used is not None:
         parts.append(credits_used.select("credits"))
     row = one_row(*parts)
@@ -121,5 +128,7 @@ def run_report(funnel_row: DataFrame, drops: DataFrame, sources: DataFrame,
         F.array(*[F.lit(s) for s in config.streams]).alias("streams"),
         F.lit(config.date_window_days).alias("window_days"),
         "events_found", "events_kept", "events_delivered", "drop_reasons",
-        "sources", "failures", "status", "credits",
+        "sources", "failures", "n_sources", "n_failures", run_status(F.col("n_failures")).alias("status"),
+        "credits", (F.col("events_delivered") > 0).alias("send") if not config.rules.get("empty_run_message", True)
+        else F.lit(True).alias("send"),
     )

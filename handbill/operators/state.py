@@ -107,13 +107,14 @@ class StateTable:
     A snapshot counts only once its manifest row is written, and no written folder is touched
     again, so a run that dies at any moment, also when it is repeated, leaves the previous
     snapshot in force. A repeated run starts from the newest snapshot of another run and writes
-    a new one: repeating it changes nothing.
+    a new one: repeating it changes nothing. The row may also name the folder of the run's outputs, so that
+    these and the snapshot come into force together: see :meth:`published`.
 
     ``buckets`` is set by the first snapshot and kept from then on; it bounds the listing, the only thing the
     driver holds. Choose it so that a bucket fits a task.
     """
 
-    _MANIFEST = "version BIGINT, run_id STRING, folder STRING, buckets INT"
+    _MANIFEST = "version BIGINT, run_id STRING, folder STRING, buckets INT, outputs STRING"
     _LISTING = "bucket INT, folder STRING"
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
@@ -122,18 +123,34 @@ class StateTable:
         self.buckets = buckets
         self._listings: dict[str, dict[int, str]] = {}
 
-    def _newest(self, other_than: str | None):
-        """The newest manifest rows: of all runs, and of all but one."""
-        row = F.struct("version", "run_id", "folder", "buckets")
-        others = F.lit(True) if other_than is None else F.col("run_id") != other_than
+    def _manifest(self) -> DataFrame | None:
         try:
-            manifest = self.spark.read.schema(self._MANIFEST).json(f"{self.path}/manifest")
+            return self.spark.read.schema(self._MANIFEST).json(f"{self.path}/manifest")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
+            return None
+
+    def _newest(self, other_than: str | None):
+        """The newest manifest rows: of all runs, and of all but one."""
+        row = F.struct("version", "run_id", "folder", "buckets")
+        others = F.lit(True) if other_than is None else F.col("run_id") != other_than
+        manifest = self._manifest()
+        if manifest is None:
             return None, None
         return manifest.agg(F.max(row), F.max(F.when(others, row))).first()
 
+    def published(self) -> DataFrame:
+        """The folder of each run's outputs in force: ``run_id``, ``version``, ``outputs``, one row a run that has some.
+
+        A run that was repeated has the outputs of its last commit; one that died before its commit has no row.
+        """
+        manifest = self._manifest()
+        if manifest is None:
+            manifest = self.spark.createDataFrame([], self._MANIFEST)
+        return manifest.where("outputs IS NOT NULL").groupBy("run_id").agg(
+            F.max("version").alias("version"), F.max_by("outputs", "version").alias("outputs"))
+
     def _start(self, for_run: str | None):
         """The next version, the number of buckets, and the folder of each bucket a run starts from."""
         newest, before = self._newest(other_than=for_run)
@@ -179,8 +196,11 @@ class StateTable:
         self._publish(snapshot, run_id, version, buckets, {})
 
     def merge(self, events: DataFrame, run_id: str, shown: DataFrame | None = None,
-              run_ts: datetime | None = None) -> None:
-        """Upsert ``events`` and mark the keys of ``shown`` delivered; only the buckets of those keys are rewritten."""
+              run_ts: datetime | None = None, outputs: str | None = None) -> None:
+        """Upsert ``events`` and mark the keys of ``shown`` delivered; only the buckets of those keys are rewritten.
+
+        ``outputs`` is the folder of what the run gives out, already written: it is published with the snapshot.
+        """
         version, buckets, folders = self._start(run_id)
         keys = events.select("dedup_key")
         if shown is not None:
@@ -189,9 +209,11 @@ class StateTable:
         snapshot = upsert(self._rows({b: f for b, f in folders.items() if b in touched}), events)
         if shown is not None:
             snapshot = mark_delivered(snapshot, shown, run_ts)
-        self._publish(snapshot, run_id, version, buckets, {b: f for b, f in folders.items() if b not in touched})
+        untouched = {b: f for b, f in folders.items() if b not in touched}
+        self._publish(snapshot, run_id, version, buckets, untouched, outputs)
 
-    def _publish(self, rows: DataFrame, run_id: str, version: int, buckets: int, untouched: dict[int, str]) -> None:
+    def _publish(self, rows: DataFrame, run_id: str, version: int, buckets: int, untouched: dict[int, str],
+                 outputs: str | None = None) -> None:
         folder = f"run={run_id}/attempt={uuid.uuid4().hex}"
         # each bucket is in one partition, so in one file; small snapshots are few partitions
         rows.select(*STATE_COLUMNS).withColumn("bucket", bucket_of(F.col("dedup_key"), buckets)).repartition("bucket") \
@@ -203,5 +225,5 @@ class StateTable:
                 .sortWithinPartitions("bucket", "key_hash").write.partitionBy("bucket").parquet(f"{self.path}/{folder}/keys")
         listed = [*((b, folder) for b in held), *untouched.items()]
         self.spark.createDataFrame(listed, self._LISTING).coalesce(1).write.json(f"{self.path}/{folder}/listing")
-        self.spark.createDataFrame([(version, run_id, folder, buckets)], self._MANIFEST).coalesce(1) \
+        self.spark.createDataFrame([(version, run_id, folder, buckets, outputs)], self._MANIFEST).coalesce(1) \
             .write.mode("append").json(f"{self.path}/manifest")

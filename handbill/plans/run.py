@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -70,8 +71,8 @@ class RunResult:
 
 def run_listings(raw: DataFrame, config: RunConfig, output: str, state: StateTable | None = None,
                  outcomes: DataFrame | None = None, deliver: bool = True,
-                 unreadable: DataFrame | None = None) -> RunResult:
-    """A full run with its outputs under ``output`` and its state in ``state``.
+                 unreadable: DataFrame | None = None, one_commit: bool = False) -> RunResult:
+    """A full run with its outputs (digest, sections, report, outcomes) under ``output`` and its state in ``state``.
 
     Judged rows and deduplicated events are each used several times, so both are written to
     the shared folder once, the former by drop reason, so a reader of kept rows or of one
@@ -81,7 +82,15 @@ def run_listings(raw: DataFrame, config: RunConfig, output: str, state: StateTab
     ``deliver`` is set. ``outcomes`` (source, found, ok, error and, for paid
     fetches, granted) defaults to the records seen. Files of ``unreadable`` (source, n_records, error: see
     :func:`handbill.sources.listings.unreadable`) are failed outcomes next to those.
+
+    With ``one_commit`` outputs go to a folder of this attempt below ``output``, and the row that puts the new
+    snapshot in force also names it: ``state.published()``. A run that dies before leaves both as they were, so nothing
+    is delivered twice or lost. Without it the outputs lie under ``output`` before the state is written.
     """
+    if one_commit:
+        if state is None:
+            raise ValueError("one_commit needs a state table")
+        output = f"{output.rstrip('/')}/run={config.resolved_run_id}/attempt={uuid.uuid4().hex}"
     spark = raw.sparkSession
     checkpoint_dir(spark)
     run_id = config.resolved_run_id
@@ -117,6 +126,7 @@ def run_listings(raw: DataFrame, config: RunConfig, output: str, state: StateTab
     if unreadable is not None:
         failed = reports.source_outcomes(unreadable).withColumns({"found": F.lit(0), "granted": F.lit(False)})
         outcomes = outcomes.unionByName(failed, allowMissingColumns=True)
+    outcomes = written(outcomes, "outcomes")
     totals = outcomes.agg(
         F.count_if("ok").alias("sources"), F.count_if(~F.col("ok")).alias("skipped"),
         F.count_if("granted").alias("credits"),
@@ -129,6 +139,7 @@ def run_listings(raw: DataFrame, config: RunConfig, output: str, state: StateTab
     write_digest(text, f"{output}/digest")
     write_digest_sections(event_lines(ranked, config), f"{output}/sections")
     write_report(report, f"{output}/report")
+    write_report(outcomes, f"{output}/outcomes")
     if state is not None:
         scores = ranked.select("dedup_key", F.col("relevance_score").alias("_score"))
         scored = (
@@ -136,5 +147,5 @@ def run_listings(raw: DataFrame, config: RunConfig, output: str, state: StateTab
             .withColumn("relevance_score", F.coalesce("_score", "relevance_score"))
             .drop("_score")
         )
-        state.merge(scored, run_id, ranked if deliver else None, config.run_ts)
+        state.merge(scored, run_id, ranked if deliver else None, config.run_ts, output if one_commit else None)
     return RunResult(judged, events, ranked, text, drops, report)

@@ -31,5 +31,5 @@ def write_digest(lines: DataFrame, path: str, partitions: int | None = None) ->
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    """The one-row run report as JSON."""
+    """The one-row run report, or its source outcomes, as JSON."""
     report.write.mode("overwrite").json(path)

@@ -203,3 +203,59 @@ def test_entry_runs(spark):
     result = entry.entry(spark)
     assert result.count() > 0
     assert F.col("rank") is not None and "relevance_score" in result.columns
+
+
+STEPS = ["write_digest", "write_digest_sections", "write_report", "rows", "listing", "manifest"]
+
+
+def test_a_run_that_dies_publishes_neither_outputs_nor_state(spark, tmp_path, monkeypatch):
+    from handbill.plans import run as plan
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    state, output = StateTable(spark, str(tmp_path / "state"), buckets=4), str(tmp_path / "out")
+    raw = landed(spark, tmp_path / "in", RECORDS)
+    config = RunConfig(NOW, run_id="1")
+
+    def die(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    for step in STEPS:
+        with monkeypatch.context() as patched:
+            if hasattr(plan, step):
+                patched.setattr(plan, step, die)
+            else:
+                kind = "parquet" if step == "rows" else "json"
+                write = getattr(DataFrameWriter, kind)
+                patched.setattr(DataFrameWriter, kind, lambda self, path, **k: (
+                    die() if path.startswith(state.path) and path.endswith(step) else write(self, path, **k)))
+            with pytest.raises(RuntimeError, match="lost"):
+                run_listings(raw, config, output, state, one_commit=True)
+        assert state.published().count() == 0 and state.read().count() == 0
+
+    run_listings(raw, config, output, state, one_commit=True)
+    again = run_listings(raw, RunConfig(NOW, run_id="2"), output, state, one_commit=True)
+    assert again.ranked.count() == 0
+    folders = {r.run_id: r.outputs for r in state.published().collect()}
+    shown = [r.value for r in spark.read.text(f"{folders['1']}/digest").collect() if r.value.startswith("- *")]
+    assert len(shown) == 5 and all(r.delivered for r in state.read().collect())
+    assert not [r for r in spark.read.text(f"{folders['2']}/digest").collect() if r.value.startswith("- *")]
+
+
+def test_a_report_lists_some_sources_and_counts_all(spark, tmp_path, monkeypatch):
+    from handbill.operators import report
+
+    monkeypatch.setattr(report, "LISTED", 2)
+    raw = landed(spark, tmp_path / "in", RECORDS)
+    for name in "abc":
+        (tmp_path / "in" / f"{name}.json").write_text("not json\n")
+    rules = {**RunConfig(NOW).rules, "empty_run_message": False}
+    run_listings(raw, RunConfig(NOW, rules, run_id="1"), str(tmp_path / "out"),
+                 unreadable=unreadable(spark, str(tmp_path / "in"), "lines"))
+    row = json.loads(spark.read.text(str(tmp_path / "out" / "report")).first()[0])
+    assert (len(row["sources"]), len(row["failures"]), row["n_failures"], row["status"]) == (2, 2, 3, 1)
+    assert row["send"] is True
+    every = spark.read.json(str(tmp_path / "out" / "outcomes"))
+    assert every.count() == row["n_sources"] and every.where("NOT ok").count() == 3
+
+    empty = run_listings(raw.where("false"), RunConfig(NOW, rules, run_id="2"), str(tmp_path / "none"))
+    assert empty.report.first().send is False
