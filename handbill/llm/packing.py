@@ -1,7 +1,8 @@
 """Packing documents into sequences: first-fit decreasing with a tournament tree of capacities.
 
 A document's ids (its text's, then the end id) are cut into pieces of ``length``; the last piece is
-what is left. Pieces are dealt into groups at random by a hash, about ``group_rows`` to a group, and each
+what is left. Pieces are dealt into groups at random by a hash of their document and of their row in the written
+table, so rows of one id or none spread as others do; about ``group_rows`` go to a group, and each
 group is packed on its own: longest first, each piece into the first sequence with room, which the
 tree of free capacities finds in a logarithm of the sequences. A group's pieces are numbers, not ids,
 so a group fits a task whatever the documents' lengths.
@@ -88,10 +89,11 @@ def _cut(encoder: Encoder, length: int, end: int):
 
 def _pack(length: int):
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("doc_id", "ascending"), ("start", "ascending")])
+        # the row breaks ties, so a repeated task gives the same sequences
+        table = table.sort_by([(name, "ascending") for name in ("doc_id", "start", "part", "row")])
         sequence, offset = first_fit_decreasing(table["length"].to_numpy(), length)
         group = table["grp"][0].as_py()
-        return table.drop_columns(["grp"]).append_column(
+        return table.drop_columns(["grp", "part", "row"]).append_column(
             "sequence_id", pa.array((group << 32) + sequence)).append_column("offset", pa.array(offset))
 
     return run
@@ -104,6 +106,10 @@ def pack(docs: DataFrame, path: str, length: int = 4096, end: int = 2, group_row
     encoder = Encoder.of(docs, path)
     cut = saved(docs.mapInArrow(_cut(encoder, length, end), PIECE), "pieces")
     groups = pieces(cut.count(), group_rows)
-    grouped = cut.withColumn("grp", F.pmod(F.xxhash64("doc_id", "start", F.lit(seed)), F.lit(groups)))
+    placed = cut.select(
+        "*", F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("bigint").alias("part"),
+        F.col("_metadata.row_index").alias("row"))
+    grouped = placed.withColumn(
+        "grp", F.pmod(F.xxhash64("doc_id", "start", "part", "row", F.lit(seed)), F.lit(groups)))
     return grouped.groupBy("grp").applyInArrow(
         _pack(length), PIECE + ", sequence_id bigint, offset bigint")

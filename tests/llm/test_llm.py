@@ -167,6 +167,17 @@ def test_packing_is_a_partition_without_gaps(docs, rows, length, group):
     assert pieces == want
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_packing_spreads_rows_of_one_id(spark, doc_id):
+    frame = spark.createDataFrame([(doc_id, "same words"), *((doc_id, f"w {k}") for k in range(1500)),
+                                   *((doc_id, "same words") for _ in range(1500))], "doc_id bigint, text string")
+    path = tokens.vocabulary("word_bpe_49k.json")
+    got = packing.pack(frame, path, length=16, group_rows=100).collect()
+    sizes = collections.Counter(r.sequence_id >> 32 for r in got)
+    assert len(got) == 3001 and len(sizes) > 20 and max(sizes.values()) < 200
+    assert sorted(map(str, got)) == sorted(map(str, packing.pack(frame, path, length=16, group_rows=100).collect()))
+
+
 def test_first_fit_decreasing_equals_the_plain_search():
     draw = np.random.default_rng(3)
     for _ in range(20):
