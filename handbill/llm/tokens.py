@@ -4,7 +4,8 @@ Encoding. A tokenizer's split rule lets a text be cut, without changing a single
 run of white space and between an ASCII letter and the ASCII character that ends the run of
 letters. The distinct spans between cuts are gathered by Spark, encoded once each by the
 tokenizers library, and kept in the shared folder as arrays sorted by a 64-bit hash. Workers
-memory-map them and put ids together by array look-ups. Spans whose hashes collide are found when
+memory-map them and put ids together by array look-ups; the dictionary has a largest size, and spans beyond it, the
+rarest, are encoded where they stand. Spans whose hashes collide are found when
 the arrays are built (their bytes are compared there); texts with such a span go to the library.
 
 File format, one set of files per range of ids, in ascending order of range and of id within it:
@@ -35,6 +36,7 @@ from .words import IS_BREAK, IS_LETTER, IS_SPACE, blocks, span_hashes
 _BREAK = IS_BREAK.copy()
 _BREAK[ord("|")] = False  # special tokens are spelt <|name|>; they must not be cut
 FLAGGED = np.uint32(0xFFFFFFFF)
+COLLIDED, MISSING = -1, -2
 
 
 def vocabulary(name: str) -> str:
@@ -144,7 +146,20 @@ def _distinct_spans(space: bool, parts: int, flush: int = 1 << 21):
     return run
 
 
-def _encode_spans(path: str, folder: str):
+def _encode_each(path: str, data: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many ids each span has, and all of them one after another."""
+    raw, tool, ids, sizes = data.tobytes(), library(path), [], []
+    for k in range(0, len(starts), 2048):
+        some = [raw[s: s + n].decode("utf-8") for s, n in zip(starts[k: k + 2048], lens[k: k + 2048])]
+        for one in tool.encode_batch_fast(some, add_special_tokens=False):
+            own = one.ids
+            ids.extend(own)
+            sizes.append(len(own))
+    return np.array(sizes, np.int64), np.array(ids, id_type(path))
+
+
+def _encode_spans(path: str, parts: int, files: int, share: int):
+    """Ids of the spans of one part that were met by most tasks, up to ``share`` bytes of them."""
     def run(table: pa.Table) -> pa.Table:
         part = table["part"][0].as_py()
         lens = from_planes(table["lens"], np.uint32).astype(np.int64)
@@ -164,58 +179,86 @@ def _encode_spans(path: str, folder: str):
         collided = np.isin(hashes, hashes[again[differ]])
         new = np.ones(len(hashes), bool)
         new[again] = False
+        met = np.diff(np.append(np.flatnonzero(new), len(hashes)))
         hashes, starts, lens, collided = hashes[new], starts[new], lens[new], collided[new]
-        raw, tool, ids, sizes = data.tobytes(), library(path), [], []
-        for k in range(0, len(hashes), 2048):
-            some = [raw[s: s + n].decode("utf-8") for s, n in zip(starts[k: k + 2048], lens[k: k + 2048])]
-            for one in tool.encode_batch_fast(some, add_special_tokens=False):
-                own = one.ids
-                ids.extend(own)
-                sizes.append(len(own))
-        sizes = np.array(sizes, np.uint32)
-        ends = np.cumsum(sizes, dtype=np.uint64)
-        for name, values in (("hash", hashes), ("end", ends), ("size", np.where(collided, FLAGGED, sizes)),
-                             ("ids", np.array(ids, id_type(path)))):
-            store(folder, f"{part}.{name}", values)
-        return pa.table({"part": pa.array([part], pa.int32()), "n": pa.array([len(hashes)], pa.int64())})
+        most = np.argsort(-met, kind="stable")
+        keep = collided.copy()  # a hash of two spans must be known as one wherever it is met
+        keep[most[np.cumsum(lens[most]) <= share]] = True
+        hashes, starts, lens, collided = hashes[keep], starts[keep], lens[keep], collided[keep]
+        sizes = np.full(len(hashes), FLAGGED)
+        sizes[~collided], ids = _encode_each(path, data, starts[~collided], lens[~collided])
+        return pa.table({
+            "file": pa.array([part * files // parts], pa.int32()), "part": pa.array([part], pa.int32()),
+            "hashes": pa.array([planes(hashes)], pa.binary()), "sizes": pa.array([planes(sizes)], pa.binary()),
+            "ids": pa.array([ids.tobytes()], pa.binary())})
+
+    return run
+
+
+def _store_spans(path: str, folder: str):
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("part")  # ranges of hashes, one after another
+        file = table["file"][0].as_py()
+        hashes, sizes = from_planes(table["hashes"], np.uint64), from_planes(table["sizes"], np.uint32)
+        ids = np.concatenate([np.frombuffer(x.as_buffer(), id_type(path)) for x in table["ids"]])
+        ends = np.cumsum(np.where(sizes == FLAGGED, 0, sizes), dtype=np.uint64)
+        for name, values in (("hash", hashes), ("end", ends), ("size", sizes), ("ids", ids)):
+            store(folder, f"{file}.{name}", values)
+        return pa.table({"file": pa.array([file], pa.int32()), "n": pa.array([len(hashes)], pa.int64())})
 
     return run
 
 
 class Encoder:
-    """Ids of texts by look-up in a dictionary of spans; sent to workers by its folder's name."""
+    """Ids of texts by look-up in a dictionary of spans; sent to workers by its folder's name.
+
+    Spans are gathered in parts that grow in number with the text, but the dictionary has at most ``files``
+    files of about ``file_bytes`` of spans, so a block of text opens no more of them however large the input is.
+    Where distinct spans are more than that, those that fewest tasks met stay out, and blocks that
+    hold them give them to the library.
+    """
 
-    def __init__(self, path: str, folder: str, parts: int):
-        self.path, self.folder, self.parts = path, folder, parts
+    def __init__(self, path: str, folder: str, parts: int, files: int):
+        self.path, self.folder, self.parts, self.files = path, folder, parts, files
 
     @staticmethod
-    def of(texts: DataFrame, path: str, part_bytes: int = 32 << 20) -> "Encoder":
-        """Encode every distinct span of ``texts`` (one column, text) into a new dictionary."""
+    def of(texts: DataFrame, path: str, part_bytes: int = 32 << 20, files: int = 64,
+           file_bytes: int = 32 << 20) -> "Encoder":
+        """Encode the distinct spans of ``texts`` (one column, text) into a new dictionary."""
         parts = pieces(text_bytes_of(texts), part_bytes)
+        share = files * file_bytes // parts
+        files = min(files, parts)
         folder = shared_folder(texts.sparkSession, "spans")
         found = texts.select("text").mapInArrow(
             _distinct_spans(keeps_space(path), parts),
             "part int, lens binary, bytes binary")
-        found.groupBy("part").applyInArrow(_encode_spans(path, folder), "part int, n bigint") \
+        encoded = found.groupBy("part").applyInArrow(
+            _encode_spans(path, parts, files, share),
+            "file int, part int, hashes binary, sizes binary, ids binary")
+        encoded.groupBy("file").applyInArrow(_store_spans(path, folder), "file int, n bigint") \
             .agg(F.sum("n")).collect()
-        return Encoder(path, folder, parts)
+        return Encoder(path, folder, parts, files)
 
-    def _mapped(self, part: int):
-        return _open_part(self.folder, part)
+    def _mapped(self, file: int):
+        return _open_part(self.folder, file)
 
     def _look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted distinct hashes: sizes, and their ids one after another."""
-        edges = np.searchsorted(range_of(hashes, self.parts), np.arange(self.parts + 1))
-        sizes, ids = np.zeros(len(hashes), np.int64), []
-        for part in np.flatnonzero(np.diff(edges)):
-            own = slice(edges[part], edges[part + 1])
-            names, ends, held, values = self._mapped(int(part))
-            at = np.searchsorted(names, hashes[own])
-            size = held[at]
-            size = np.where(size == FLAGGED, 0, size).astype(np.int64)
-            sizes[own] = np.where(held[at] == FLAGGED, -1, size)
-            ids.append(_gather(values, ends[at].astype(np.int64) - size, size))
-        return sizes, np.concatenate(ids) if ids else np.empty(0, id_type(self.path))
+        """Sorted distinct hashes: sizes (or ``COLLIDED``, ``MISSING``), and their ids one after another."""
+        file_of = range_of(hashes, self.parts) * self.files // self.parts
+        edges = np.searchsorted(file_of, np.arange(self.files + 1))
+        sizes, ids = np.full(len(hashes), MISSING), [np.empty(0, id_type(self.path))]
+        for file in np.flatnonzero(np.diff(edges)):
+            names, ends, held, values = self._mapped(int(file))
+            if not len(names):
+                continue
+            own = hashes[edges[file]: edges[file + 1]]
+            at = np.minimum(np.searchsorted(names, own), len(names) - 1)
+            known = names[at] == own
+            size = np.where(held[at] == FLAGGED, COLLIDED, held[at].astype(np.int64))
+            sizes[edges[file]: edges[file + 1]] = np.where(known, size, MISSING)
+            here = known & (size >= 0)
+            ids.append(_gather(values, ends[at[here]].astype(np.int64) - size[here], size[here]))
+        return sizes, np.concatenate(ids)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets of texts in them) of a block of texts, each followed by ``end``."""
@@ -225,10 +268,18 @@ class Encoder:
         order = np.argsort(hashes)
         new = np.ones(len(hashes), bool)
         new[1:] = hashes[order][1:] != hashes[order][:-1]
-        sizes, ids = self._look_up(hashes[order][new])
-        if (sizes < 0).any():
+        first = order[new]
+        sizes, ids = self._look_up(hashes[first])
+        if (sizes == COLLIDED).any():
             return self._by_library(data, offsets, end)
-        heads = np.cumsum(sizes) - sizes
+        known = np.maximum(sizes, 0)
+        heads = np.cumsum(known) - known
+        missing = np.flatnonzero(sizes == MISSING)
+        if len(missing):
+            at = first[missing]
+            size, more = _encode_each(self.path, data, starts[at], stops[at] - starts[at])
+            sizes[missing], heads[missing] = size, len(ids) + np.cumsum(size) - size
+            ids = np.concatenate((ids, more))
         which = np.empty(len(hashes), np.int64)
         which[order] = np.cumsum(new) - 1
         total = np.concatenate(([0], np.cumsum(sizes[which])))
@@ -249,8 +300,8 @@ class Encoder:
 
 
 @lru_cache(maxsize=256)
-def _open_part(folder: str, part: int):
-    return tuple(np.load(f"{folder}/{part}.{name}.npy", mmap_mode="r")
+def _open_part(folder: str, file: int):
+    return tuple(np.load(f"{folder}/{file}.{name}.npy", mmap_mode="r")
                  for name in ("hash", "end", "size", "ids"))
 
 

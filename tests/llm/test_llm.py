@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import os
 import random
 import zlib
 
@@ -145,6 +146,26 @@ def test_spans_encode_as_whole_texts(spark, name):
         (k, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for k, x in enumerate(own)}
 
 
+@pytest.mark.parametrize("files, file_bytes", [(3, 1 << 20), (3, 700), (2, 0)])
+def test_spans_beyond_the_dictionary_are_encoded_in_place(docs, rows, files, file_bytes):
+    path = tokens.vocabulary("byte_bpe_50k.json")
+    encoder = tokens.Encoder.of(docs, path, part_bytes=4000, files=files, file_bytes=file_bytes)
+    assert encoder.parts > files == encoder.files
+    assert len(os.listdir(encoder.folder)) <= 4 * files
+    known = sum(len(np.load(f"{encoder.folder}/{k}.hash.npy")) for k in range(files))
+    texts = [t or "" for _, t, *_ in rows]
+    raw = [t.encode() for t in texts]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in raw])))
+    starts, stops = tokens.spans(data, offsets, tokens.keeps_space(path))
+    distinct = len({data[a:b].tobytes() for a, b in zip(starts, stops)})
+    assert known == distinct if file_bytes == 1 << 20 else known < distinct
+    ids, at = encoder.encode(data, offsets, 2)
+    tool = tokens.library(path)
+    for k, text in enumerate(texts):
+        assert ids[at[k]: at[k + 1]].tolist() == tool.encode(text, add_special_tokens=False).ids + [2]
+
+
 @pytest.mark.parametrize("length, group", [(64, 40), (4096, 8192)])
 def test_packing_is_a_partition_without_gaps(docs, rows, length, group):
     got = packing.pack(docs, tokens.vocabulary("word_bpe_49k.json"), length=length, group_rows=group).collect()
