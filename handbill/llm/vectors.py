@@ -13,7 +13,8 @@ the larger coordinates counts the pair, and of the blocks that find it the first
 ``capacity`` are compared block against block. Tasks give counts and a spanning forest of their
 links, never pairs, so a group of many near copies costs comparisons but no rows.
 
-Equal vectors are one class and are compared once. Vectors that are NULL, zero, or hold NULL or non-finite
+Components keep their type: those of ``array<float>`` are sent as 32 bits, all others as 64. Equal vectors
+are one class and are compared once. Vectors that are NULL, zero, or hold NULL or non-finite
 components, and rows without id, link with nothing. Vectors of different lengths don't link. Rows
 that share an id are vectors of their own; an empty table gives an empty result; other columns are
 ignored.
@@ -70,11 +71,16 @@ def _cell_key(block: int, cell: np.ndarray, dims: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _matrix(column, dims: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float32).astype(np.float64).reshape(-1, dims)
+def _scaled(raw: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two, so that squares stay finite; no digit of a cosine changes."""
+    return np.ldexp(raw, -np.frexp(np.abs(raw).max(1, keepdims=True))[1])
 
 
-def _to_cells(block: int, sides: int, budget: float):
+def _matrix(column, dims: int, kind: str) -> np.ndarray:
+    return _scaled(np.frombuffer(b"".join(column.to_pylist()), kind).astype(np.float64).reshape(-1, dims))
+
+
+def _to_cells(block: int, sides: int, budget: float, kind: str):
     schema = pa.schema([("key", pa.int64()), ("block", pa.int32()), ("cid", pa.int64()),
                         ("size", pa.int64()), ("vector", pa.binary())])
 
@@ -83,11 +89,11 @@ def _to_cells(block: int, sides: int, budget: float):
             lengths = np.asarray(batch["vector"].value_lengths())
             for dims in np.unique(lengths):
                 part = batch.filter(pa.array(lengths == dims))
-                flat = part["vector"].flatten().to_numpy(zero_copy_only=False).astype(np.float32)
+                flat = part["vector"].flatten().to_numpy(zero_copy_only=False).astype(kind)
                 flat = flat.reshape(-1, int(dims))
                 part = part.drop_columns(["vector"]).append_column(
                     "vector", pa.array([x.tobytes() for x in flat], pa.binary()))
-                z = rotated(flat.astype(np.float64))
+                z = rotated(_scaled(flat.astype(np.float64)))
                 for b, own in enumerate(cut(int(dims), block)):
                     cell, radius = _grid(z, own, sides, budget)
                     width = 3 * radius
@@ -105,12 +111,12 @@ def _to_cells(block: int, sides: int, budget: float):
     return run
 
 
-def _join_cell(block: int, sides: int, cosine: float, tile: int = 1024):
+def _join_cell(block: int, sides: int, cosine: float, kind: str, tile: int = 1024):
     budget = 2 - 2 * cosine
 
     def run(table: pa.Table) -> pa.Table:
-        dims = len(table["vector"][0].as_buffer()) // 4
-        raw = _matrix(table["vector"], dims)
+        dims = len(table["vector"][0].as_buffer()) // np.dtype(kind).itemsize
+        raw = _matrix(table["vector"], dims, kind)
         z, norm = rotated(raw), np.sqrt((raw * raw).sum(1))
         b, key = table["block"][0].as_py(), table["key"][0].as_py()
         lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
@@ -163,7 +169,9 @@ def _join_cell(block: int, sides: int, cosine: float, tile: int = 1024):
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.95, block: int = 16, capacity: int = 16384) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
-    rows = only(vectors, "vec_id", F.col("embedding").cast("array<float>").alias("vector"))
+    single = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
+    kind = "<f4" if single else "<f8"
+    rows = only(vectors, "vec_id", F.col("embedding").cast("array<float>" if single else "array<double>").alias("vector"))
     sound = (
         F.col("vec_id").isNotNull() & F.coalesce(F.size("vector") > 0, F.lit(False))
         & F.coalesce(F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x)
@@ -177,11 +185,11 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, block: int = 16, capa
         .withColumn("cid", F.monotonically_increasing_id()), "vector-classes")
     sides = max(0, min(block, math.ceil(math.log(max(1, classes.count()) / (2 * capacity)) / math.log(CELLS_PER_SIDE))))
     cells = saved(classes.select("cid", "size", "vector").mapInArrow(
-        _to_cells(block, sides, 2 - 2 * cosine),
+        _to_cells(block, sides, 2 - 2 * cosine, kind),
         "key bigint, block int, cid bigint, size bigint, vector binary"), "vector-cells")
     found = saved(
         split_groups(cells, ["key"], "cid", capacity).groupBy("key", "lo", "hi")
-        .applyInArrow(_join_cell(block, sides, cosine), FOUND), "vector-links")
+        .applyInArrow(_join_cell(block, sides, cosine, kind), FOUND), "vector-links")
     placed = rows.select("vec_id", "one", "two").join(classes.drop("vector"), ["one", "two"], "left")
     return linked(placed.select("vec_id", "cid", "size"), found, "vec_id").select(
         "vec_id", "n_links", "component_id", "kept")

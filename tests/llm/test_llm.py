@@ -74,11 +74,34 @@ def test_exact_copies_also_in_chains(docs, rows, key, capacity):
 
 
 def test_directory_holds_buckets_within_capacity(docs):
-    index = exact.build_index(docs, capacity=10, per_file=40)
+    index, slots, depths = exact.build_index(docs, capacity=10, per_file=40)
     assert index.groupBy("bucket").count().agg(F.max("count")).first()[0] <= 10
     files = index.withColumn("f", F.input_file_name()).groupBy("bucket").agg(F.count_distinct("f").alias("n"))
     assert files.agg(F.max("n")).first()[0] == 1
     assert index.where("chain > 0").count() == 0
+    assert slots.groupBy("depth", "slot").count().where("count > 1").isEmpty()
+    # a bucket is a prefix of its keys, and one that had room would not have been split further
+    for r in index.collect():
+        assert r.bucket == (1 << r.local_depth) + ((r.key % (1 << 64)) >> (64 - r.local_depth))
+    held = collections.Counter((r.local_depth, r.bucket) for r in index.collect())
+    for (depth, bucket), n in held.items():
+        parent = sum(m for (d, b), m in held.items() if d >= depth and b >> (d - depth + 1) == bucket >> 1)
+        assert depth == 0 or parent > 10
+
+
+def test_buckets_split_until_they_fit_or_hold_one_chain(spark):
+    """Keys that differ in their last bits only: the directory gets as deep as that, and chains stay whole."""
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(200)], "doc_id bigint, text string")
+    low = lambda c: F.xxhash64(c) % 4 + 8
+    index, slots, depths = exact.build_index(docs, capacity=5, key=low)
+    assert max(depths) >= 60
+    assert index.groupBy("bucket").agg(F.count_distinct("key").alias("k")).agg(F.max("k")).first()[0] <= 2
+    chains = collections.defaultdict(list)
+    for r in index.collect():
+        chains[r.key].append(r.chain)
+    assert len(chains) > 1 and all(sorted(c) == list(range(len(c))) for c in chains.values())
+    got = exact.exact_duplicates(docs, key=low, capacity=5).collect()
+    assert sorted(r.doc_id for r in got if r.kept and r.group_size == 1) == list(range(200))
 
 
 @pytest.mark.parametrize("options", [{}, {"part_bytes": 4000}, {"part_bytes": 4000, "capacity": 3},
@@ -377,6 +400,18 @@ def test_near_vectors_by_brute_force(spark, options):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+def test_near_vectors_keep_double_components(spark):
+    """Beyond the range of 32-bit floats, and apart by less than they can tell."""
+    least = 0.95
+    turned = [least, math.sqrt(1 - least * least)]
+    within, without = [turned[0] + 1e-12, turned[1]], [turned[0] - 1e-12, turned[1]]
+    data = [(1, [1e39, 0.0]), (2, [1e39, 0.0]), (3, [1e308, 0.0]), (4, [1e-300, 0.0]), (5, [0.0, 1e200]), (6, None),
+            (7, within), (8, without)]
+    frame = spark.createDataFrame(data, "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(frame).collect()}
+    assert got == {1: (4, 1), 2: (4, 1), 3: (4, 1), 4: (4, 1), 5: (0, 5), 6: (0, 6), 7: (5, 1), 8: (1, 1)}
+
+
 def test_language_model_by_plain_counts(docs, rows):
     got = lm.held_out_scores(docs, part_bytes=20_000, per_part=64).collect()
     texts = [(i, [bytes(c + 32 if 65 <= c <= 90 else c for c in w) for w in words_of(t)] + [None]) for i, t, *_ in rows]
