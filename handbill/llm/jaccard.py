@@ -252,8 +252,8 @@ def similar_documents(docs: DataFrame, n: int = 5, threshold: float = 0.8, recal
     bins = pieces(classes.count() * trees, node_rows)
     edges = (
         split_groups(nodes, ["key"], "cid", capacity)
-        .withColumn("bin", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(bins)))
-        .repartition(bins, "bin").groupBy("bin").applyInArrow(_candidates(threshold - margin), "u bigint, v bigint")
+        .withColumn("bin", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(bins)).cast("int"))
+        .repartitionById(bins, "bin").groupBy("bin").applyInArrow(_candidates(threshold - margin), "u bigint, v bigint")
     )
     roots = saved(components(edges).withColumnRenamed("node", "cid"), "jaccard-groups")
     wanted = classes.drop("sign").join(roots, "cid").select(
@@ -264,8 +264,8 @@ def similar_documents(docs: DataFrame, n: int = 5, threshold: float = 0.8, recal
     bins = pieces(roots.count(), set_rows)
     found = saved(
         split_groups(saved(sets, "jaccard-sets"), ["root"], "cid", group)
-        .withColumn("bin", F.pmod(F.xxhash64("root", "lo", "hi"), F.lit(bins)))
-        .repartition(bins, "bin").groupBy("bin").applyInArrow(_verify(threshold), FOUND), "jaccard-links")
+        .withColumn("bin", F.pmod(F.xxhash64("root", "lo", "hi"), F.lit(bins)).cast("int"))
+        .repartitionById(bins, "bin").groupBy("bin").applyInArrow(_verify(threshold), FOUND), "jaccard-links")
     named = signed.select("doc_id", "one", "two").join(
         classes.select("one", "two", "cid", "class_id", "size"), ["one", "two"], "left")
     named = named.where("doc_id IS NOT NULL")
