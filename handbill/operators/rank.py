@@ -13,8 +13,9 @@ from handbill.session import shared_path
 UNDATED_PROXIMITY = 0.3
 FULL_TOPICAL_HITS = 3.0
 
-# Rows of one range partition when whole groups are numbered.
+# Rows of one range partition when whole groups are numbered, and bytes of its files as written: rows may hold long texts.
 ROWS_PER_PARTITION = 1_000_000
+BYTES_PER_PARTITION = 16_000_000
 
 
 def relevance_score(config: RunConfig) -> Column:
@@ -66,11 +67,11 @@ def top_per_group(df: DataFrame, group_order: Column, group: str, order: list[Co
 
 
 def rank_all(df: DataFrame, group_order: Column, group: str, order: list[Column],
-             rank: str = "rank", rows: int = ROWS_PER_PARTITION) -> DataFrame:
+             rank: str = "rank", rows: int = ROWS_PER_PARTITION, size: int = BYTES_PER_PARTITION) -> DataFrame:
     """Number all rows of every group in order, without putting a group into one task.
 
-    Rows are written once, range-partitioned on the sort keys into about ``rows`` each, and sorted
-    inside partitions; the result is written too, because partition numbers must not change between its
+    Rows are written once, range-partitioned on the sort keys into about ``rows`` or ``size`` bytes each,
+    whichever is less, and sorted inside partitions; the result is written too, because partition numbers must not change between its
     two uses. A row's rank is its place in its partition plus the rows of its group in earlier
     partitions; those counts are one row per partition and group.
     """
@@ -78,7 +79,10 @@ def rank_all(df: DataFrame, group_order: Column, group: str, order: list[Column]
     written, placed = shared_path(spark, "rank-rows"), shared_path(spark, "rank-placed")
     df.write.parquet(written)
     source = spark.read.schema(df.schema).parquet(written)
-    count = max(1, -(-source.count() // rows))
+    files = source.groupBy("_metadata.file_path").agg(
+        F.first("_metadata.file_size").alias("size"), F.count(F.lit(1)).alias("rows"))
+    held = files.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    count = max(1, -(-held[0] // rows), -(-held[1] // size))
     keys = [group_order.asc(), *order]
     (
         source.repartitionByRange(count, *keys)
