@@ -259,3 +259,28 @@ def test_lists_over_several_lines(spark, tmp_path, layout):
     got = listings.read_listings(spark, str(tmp_path), layout=layout, arrival=True).orderBy("seq").collect()
     assert [(r.title, r.price_min) for r in got] == [("a\nb", "1.10"), ("c", None)]
     assert listings.unreadable(spark, str(tmp_path), layout=layout).count() == 0
+
+
+def test_rows_of_a_large_batch_of_pages_leave_in_pieces():
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    from handbill.sources import markup
+
+    class Pages:
+        schema = T.StructType([T.StructField("page_id", T.LongType())])
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    layout = markup.RowLayout(markup.Element("p"), {"text": markup.Cell()})
+    htmls = [None if k % 7 == 0 else f"<p>{k}</p><p>{'x' * (markup.PIECE_CHARS // 5)}</p>" for k in range(30)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(30), pa.int64()), pa.array(htmls)], names=["page_id", "html"])
+    out = list(markup.layout_rows(Pages(), layout, ["page_id"])(iter([batch])))
+    assert len(out) >= 4 and max(b.num_rows for b in out) <= 12
+    rows = [r for b in out for r in zip(*(c.to_pylist() for c in b.columns))]
+    assert [(i, n, t[:2]) for i, n, t in rows] == [
+        x for k in range(30) if k % 7 for x in ((k, 0, str(k)), (k, 1, "xx"))]
